@@ -131,11 +131,11 @@ def days_since(d: str | Column, as_of: str) -> Column:
     return F.datediff(F.to_date(F.lit(as_of)), F.to_date(_c(d)))
 
 
-def price_class(price: str | Column) -> Column:
+def price_class(price: str | Column, low: float = 10, high: float = 50) -> Column:
     """CASE without ELSE — NULL price stays unclassified."""
     p = _c(price)
     cheap, mid, dear = PRICE_CLASS_LABELS
-    return F.when(p < 10, cheap).when((p >= 10) & (p <= 50), mid).when(p > 50, dear)
+    return F.when(p < low, cheap).when((p >= low) & (p <= high), mid).when(p > high, dear)
 
 
 def abs_error(pred: str | Column, actual: str | Column) -> Column:

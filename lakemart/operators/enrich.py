@@ -59,11 +59,12 @@ def eager_aggregate_join(fact: DataFrame, dim: DataFrame, key: str,
     """F10j: aggregate the fact by the join key first, then join the dimension.
 
     Valid when ``key`` is unique on the dimension side: each group then meets
-    at most one dimension row, so the result equals join-then-aggregate.  The
-    join now sees one row per key instead of one per fact row.
+    at most one dimension row, so the result equals join-then-aggregate (a
+    semi join keeps the groups whose key exists).  The join now sees one row
+    per key instead of one per fact row.
     """
     agg = fact.groupBy(key).agg(*measures)
-    return agg.join(dim.select(key).dropDuplicates([key]), key, "inner")
+    return agg.join(dim.select(key), key, "left_semi")
 
 
 def above_group_average(df: DataFrame, fine_keys: list[str], coarse_keys: list[str],
@@ -76,7 +77,8 @@ def above_group_average(df: DataFrame, fine_keys: list[str], coarse_keys: list[s
     where AQE splits a hot coarse key across tasks.
     """
     fine = df.groupBy(*fine_keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(value).alias("_s"), F.avg(value).alias("avg_value"))
+        F.count(F.lit(1)).alias("n"), F.sum(value).alias("_s"), F.avg(value).alias("avg_value"),
+        F.max(value).alias("max_value"))
     coarse = fine.groupBy(*coarse_keys).agg((F.sum("_s") / F.sum("n")).alias("group_avg"))
     return (fine.join(broadcast_if_small(coarse), coarse_keys, "inner")
             .filter(F.col("avg_value") > F.col("group_avg"))

@@ -20,8 +20,12 @@ ORACLE: dict[str, str] = {}
 def round_sql(sql: str, cols, digits: int) -> str:
     if not cols:
         return sql
-    scale = f"{10 ** digits}.0"
-    repl = ", ".join(f"floor({c} * {scale} + 0.5) / {scale} AS {c}" for c in cols)
+    parts = []
+    for c in cols:
+        c, d = c if isinstance(c, tuple) else (c, digits)
+        scale = f"{10 ** d}.0"
+        parts.append(f"floor({c} * {scale} + 0.5) / {scale} AS {c}")
+    repl = ", ".join(parts)
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS _q"
 
 
@@ -38,7 +42,9 @@ def query(name: str, sql: str | None = None, rnd=(), digits: int = 6):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
             if rnd:
-                df = df.withColumns({c: round_half_up(c, digits) for c in rnd})
+                df = df.withColumns({
+                    (c[0] if isinstance(c, tuple) else c):
+                        round_half_up(*(c if isinstance(c, tuple) else (c, digits))) for c in rnd})
             return df
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -115,8 +115,8 @@ def parse_multi_date(s: str | Column) -> Column:
     """E17: "MMM d, yyyy" -> else "MMM yyyy" (first of month) -> else default."""
     text = _c(s)
     return F.coalesce(
-        F.try_to_date(text, F.lit("MMM d, yyyy")),
-        F.when(text.rlike(r"^[A-Za-z]{3} \d{4}$"), F.try_to_date(text, F.lit("MMM yyyy"))),
+        F.try_to_date(text, "MMM d, yyyy"),
+        F.when(text.rlike(r"^[A-Za-z]{3} \d{4}$"), F.try_to_date(text, "MMM yyyy")),
         F.try_to_date(text),
     )
 

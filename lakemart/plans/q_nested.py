@@ -229,7 +229,7 @@ def scan_permissive_json(spark, sf):
 
 
 @query("json_deep_values", sql="""
-SELECT l_orderkey, l_linenumber, price FROM (
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, price FROM (
   SELECT l_orderkey, l_linenumber, l_extendedprice AS price FROM lineitem
   UNION ALL SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
   UNION ALL SELECT l_orderkey, l_linenumber, l_discount * 100 FROM lineitem

@@ -54,7 +54,7 @@ def decode(kafka: DataFrame, schema: str = EVENT_SCHEMA) -> DataFrame:
         "key", "offset",
         F.col("data.id").alias("id"),
         F.to_date("data.date").alias("date"),
-        F.to_timestamp("data.event_date").alias("event_date"),
+        F.to_timestamp_ntz("data.event_date").alias("event_date"),
         F.coalesce("data.event_id", "data.event").alias("event_id"),
         F.col("data.username").alias("username"),
         F.coalesce("data.group_id", "data.group").alias("group_id"),

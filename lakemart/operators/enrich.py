@@ -1,11 +1,17 @@
 """Dimension joins, role-playing joins, eager aggregation, set joins (§2 F).
 
-Broadcast policy: a side is broadcast only behind a size check.  Either the
-caller states a proven row bound (``bounded_rows``, e.g. a 25-row nation
-table or a literal code list), or ``broadcast_if_small`` checks it with a
-bounded job (``limit(n + 1).count()`` never scans more than n + 1 rows per
-partition).  Beyond the bound the plain join stays a shuffle join, and AQE may
-still convert it at runtime from real shuffle statistics.
+Broadcast policy — a side is broadcast only behind a size check:
+
+* literal code lists (payment types, rate codes, event names) are bounded by
+  construction and get an explicit ``broadcast()`` hint;
+* every other side (tables, aggregates) goes through Spark's own check:
+  the planner broadcasts it only when its estimated size is under
+  ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-decides from the real
+  shuffle statistics at runtime; beyond the threshold the join stays a
+  sort-merge join whose skewed partitions AQE splits.  This costs no extra
+  job and never computes an aggregate twice.
+* ``broadcast_if_small`` exists for the rare side whose estimate is known to
+  be wrong; it costs one bounded job (``limit(n + 1).count()``).
 """
 
 from __future__ import annotations
@@ -29,9 +35,10 @@ def bounded(dim: DataFrame) -> DataFrame:
 
 
 def left_enrich(fact: DataFrame, dim: DataFrame, on: str | list[str],
-                max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """F1j: left equi-join by column name; dim broadcast when checked small."""
-    side = broadcast_if_small(dim, max_rows) if max_rows is not None else dim
+                bounded_by_construction: bool = False) -> DataFrame:
+    """F1j: left equi-join by column name.  A literal code list is hinted for
+    broadcast; any other dimension is left to the size-checked planner/AQE."""
+    side = F.broadcast(dim) if bounded_by_construction else dim
     return fact.join(side, on=on, how="left")
 
 
@@ -44,7 +51,7 @@ def role_playing(fact: DataFrame, dim: DataFrame, key: str,
     Output columns are ``{role}_{suffix}``; the fact keeps all its columns.
     """
     out = fact
-    small = F.broadcast(dim)
+    small = dim
     for role, fact_col in roles.items():
         renamed = small.select(
             F.col(key).alias(f"__{role}_key"),
@@ -73,14 +80,14 @@ def above_group_average(df: DataFrame, fine_keys: list[str], coarse_keys: list[s
 
     The coarse average is rolled up from the fine groups' sums and counts (no
     second scan of the fact).  The coarse side has at most as many rows as the
-    fine side; it is broadcast when checked small, else joined by shuffle,
-    where AQE splits a hot coarse key across tasks.
+    fine side; AQE broadcasts it when its runtime size is small, else the
+    sort-merge join's skewed partitions are split across tasks.
     """
     fine = df.groupBy(*fine_keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("_s"), F.avg(value).alias("avg_value"),
         F.max(value).alias("max_value"))
     coarse = fine.groupBy(*coarse_keys).agg((F.sum("_s") / F.sum("n")).alias("group_avg"))
-    return (fine.join(broadcast_if_small(coarse), coarse_keys, "inner")
+    return (fine.join(coarse, coarse_keys, "inner")
             .filter(F.col("avg_value") > F.col("group_avg"))
             .drop("_s"))
 

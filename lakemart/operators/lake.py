@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from lakemart.functions import features as fx
 from lakemart.operators.clean import Bound, filter_bounds, bounds_condition
-from lakemart.operators.enrich import broadcast_if_small
 
 SLICE_PATTERN = r"(\d{4}-\d{2})"
 
@@ -178,16 +177,16 @@ def enrich_trips(clean: DataFrame, vendors: DataFrame, ratecodes: DataFrame,
     """C9 part 2: left joins to four dimensions, zones twice (role-playing).
 
     Code lists (rate codes, payments) are bounded by construction and are
-    broadcast; vendors and zones come from tables, so they are broadcast only
-    after a row-count check.
+    hinted for broadcast; vendors and zones come from tables, so Spark's size
+    check decides (planner estimate, then AQE runtime statistics).
     """
-    z = broadcast_if_small(zones)
+    z = zones
     pu = z.select(F.col("locationid").alias("pulocationid"),
                   F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone"))
     do = z.select(F.col("locationid").alias("dolocationid"),
                   F.col("borough").alias("dropoff_borough"), F.col("zone").alias("dropoff_zone"))
     return (clean
-            .join(broadcast_if_small(vendors), "vendorid", "left")
+            .join(vendors, "vendorid", "left")
             .join(F.broadcast(ratecodes), "ratecodeid", "left")
             .join(F.broadcast(payments), "payment_type", "left")
             .join(pu, "pulocationid", "left")

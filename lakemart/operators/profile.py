@@ -93,84 +93,107 @@ def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
     return per_col.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = 512) -> list[float | None]:
-    """Exact linear-interpolated quantiles (``quantile_cont`` semantics).
-
-    Jobs: histogram of distinct values (map-side combined); approximate
-    split points over the distinct values (a bounded sketch); per-bucket
-    counts (``buckets`` rows to the driver); exact ranks resolved inside the
-    target buckets only (each holds about 1/buckets of the distinct values).
-    Returns one value per probability (None when the column is all NULL).
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          buckets: int = 512) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles (``quantile_cont`` semantics) of
+    several columns with a fixed number of jobs, whatever the column count.
+
+    1. histogram of (column, value) -> count: a map-side-combined aggregation,
+       so a hot value costs one row per task; checkpointed (shared storage);
+    2. approximate split points per column over the distinct values (a
+       bounded sketch, ``buckets`` values per column to the driver);
+    3. per-(column, bucket) counts -> prefix offsets on the driver (O(buckets));
+    4. exact ranks resolved inside the target buckets only — each holds about
+       1/buckets of a column's distinct values — by a window per bucket.
     """
-    hist = (df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in cols])).alias("p"))
+    hist = (pairs.select("p.col", "p.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+            .groupBy("col", "v").agg(F.count(F.lit(1)).alias("c")))
     hist = hist.checkpoint(eager=True)
     fractions = [i / buckets for i in range(1, buckets)]
-    splits = hist.agg(F.percentile_approx("v", fractions, 10 * buckets)).first()[0] or []
-    splits = sorted(set(splits))
-    split_arr = F.array(*[F.lit(float(s)) for s in splits]) if splits else F.array().cast("array<double>")
-    hb = hist.withColumn("b", F.size(F.filter(split_arr, lambda x: x < F.col("v"))))
-    per_b = sorted((r.b, r.bc) for r in hb.groupBy("b").agg(F.sum("c").alias("bc")).collect())
-    total = sum(bc for _, bc in per_b)
-    if total == 0:
-        return [None for _ in probs]
-    offsets, acc = {}, 0
-    for b, bc in per_b:
-        offsets[b] = acc
-        acc += bc
-
-    def bucket_of(rank):
-        for b, bc in per_b:
-            if offsets[b] <= rank < offsets[b] + bc:
-                return b
-        return per_b[-1][0]
-
-    wanted = {}
-    for p in probs:
-        pos = p * (total - 1)
-        for k in (math.floor(pos), math.ceil(pos)):
-            wanted[k] = bucket_of(k)
-    need = sorted(set(wanted.values()))
+    split_rows = hist.groupBy("col").agg(F.percentile_approx("v", fractions, 10 * buckets).alias("s")).collect()
+    splits = {r["col"]: sorted(set(r["s"] or [])) for r in split_rows}
+    split_map = F.create_map(*[x for c, s in splits.items()
+                               for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in s]).cast("array<double>"))])
+    hb = hist.withColumn("b", F.size(F.filter(F.coalesce(F.element_at(split_map, F.col("col")),
+                                                         F.array().cast("array<double>")),
+                                              lambda x: x < F.col("v"))))
+    per_b = {}
+    for r in hb.groupBy("col", "b").agg(F.sum("c").alias("bc")).collect():
+        per_b.setdefault(r["col"], []).append((r["b"], r["bc"]))
+    wanted = {}      # (col, rank) -> bucket
+    offsets = {}     # (col, bucket) -> rank offset
+    totals = {}
+    for c in cols:
+        acc = 0
+        blist = sorted(per_b.get(c, []))
+        for b, bc in blist:
+            offsets[(c, b)] = acc
+            acc += bc
+        totals[c] = acc
+        if acc == 0:
+            continue
+        for p in probs:
+            pos = p * (acc - 1)
+            for k in (math.floor(pos), math.ceil(pos)):
+                for b, bc in blist:
+                    if offsets[(c, b)] <= k < offsets[(c, b)] + bc:
+                        wanted[(c, k)] = b
+                        break
+    result = {c: [None] * len(probs) for c in cols}
+    if not wanted:
+        return result
     from pyspark.sql import Window
-    w = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sub = (hb.filter(F.col("b").isin(need)).withColumn("cum", F.sum("c").over(w))
-           .select("b", "v", "c", "cum"))
-    # Only rows whose rank interval contains a wanted rank come back.
-    conds = None
-    for k, b in wanted.items():
-        off = offsets[b]
-        cond = ((F.col("b") == b) & (F.col("cum") - F.col("c") + off <= k) & (F.col("cum") - 1 + off >= k))
-        conds = cond if conds is None else conds | cond
-    rows = sub.filter(conds).collect()
+    need = sorted({(c, b) for (c, _), b in wanted.items()})
+    need_cond = None
+    for c, b in need:
+        cond = (F.col("col") == c) & (F.col("b") == b)
+        need_cond = cond if need_cond is None else need_cond | cond
+    w = Window.partitionBy("col", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sub = hb.filter(need_cond).withColumn("cum", F.sum("c").over(w))
+    hit = None
+    for (c, k), b in wanted.items():
+        off = offsets[(c, b)]
+        cond = ((F.col("col") == c) & (F.col("b") == b) & (F.col("cum") - F.col("c") + off <= k)
+                & (F.col("cum") - 1 + off >= k))
+        hit = cond if hit is None else hit | cond
     value_at = {}
-    for r in rows:
-        lo, hi = r.cum - r.c + offsets[r.b], r.cum - 1 + offsets[r.b]
-        for k in wanted:
-            if lo <= k <= hi:
-                value_at[k] = r.v
-    out = []
-    for p in probs:
-        pos = p * (total - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        a, b = value_at[lo], value_at[hi]
-        out.append(a if lo == hi else a + (b - a) * (pos - lo))
-    return out
+    for r in sub.filter(hit).select("col", "b", "v", "c", "cum").collect():
+        lo = r["cum"] - r["c"] + offsets[(r["col"], r["b"])]
+        hi = r["cum"] - 1 + offsets[(r["col"], r["b"])]
+        for (c, k) in wanted:
+            if c == r["col"] and lo <= k <= hi:
+                value_at[(c, k)] = r["v"]
+    for c in cols:
+        if totals[c] == 0:
+            continue
+        for i, p in enumerate(probs):
+            pos = p * (totals[c] - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            a, b = value_at[(c, lo)], value_at[(c, hi)]
+            result[c][i] = a if lo == hi else a + (b - a) * (pos - lo)
+    return result
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = 512) -> list[float | None]:
+    """Exact quantiles of one column (see ``exact_quantiles_multi``)."""
+    return exact_quantiles_multi(df, [col], probs, buckets)[col]
 
 
 def quantile_table(spark: SparkSession, df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """H9: (column_name, p, value) for every column and probability."""
-    rows = []
-    for c in cols:
-        for p, v in zip(probs, exact_quantiles(df, c, probs)):
-            rows.append((c, float(p), v))
+    q = exact_quantiles_multi(df, cols, probs)
+    rows = [(c, float(p), v) for c in cols for p, v in zip(probs, q[c])]
     return spark.createDataFrame(rows, "column_name string, p double, value double")
 
 
 def iqr_bounds(spark: SparkSession, df: DataFrame, cols: list[str], clamp_zero: tuple = ()) -> DataFrame:
     """q1, q3, iqr, q1 - 1.5 iqr (clamped at 0 for amounts), q3 + 1.5 iqr."""
     rows = []
+    q = exact_quantiles_multi(df, cols, [0.25, 0.75])
     for c in cols:
-        q1, q3 = exact_quantiles(df, c, [0.25, 0.75])
+        q1, q3 = q[c]
         iqr = q3 - q1
         low = q1 - 1.5 * iqr
         if c in clamp_zero:

@@ -15,17 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions import features as fx
-from lakemart.operators.enrich import broadcast_if_small
 
 
 def with_group_average(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """``AVG(value) OVER (PARTITION BY key)`` on every row, skew-safe.
 
     Partial aggregation per key, then a join back: the aggregate has one row
-    per key and is broadcast when checked small (no shuffle of the fact).
+    per key; AQE broadcasts it from its runtime size (the fact is then not
+    shuffled), else the sort-merge join splits a hot key's partition.
     """
     avg = df.groupBy(key).agg(F.avg(value).alias(out))
-    return df.join(broadcast_if_small(avg), key, "left")
+    return df.join(avg, key, "left")
 
 
 def lag_growth(df: DataFrame, key: str, order: str, value: str) -> DataFrame:

@@ -70,7 +70,7 @@ def sql03_join(spark, sf):
     """F5j/G31: categories above the reference category's average (scalar
     subquery), joined back to the products."""
     p = table(spark, sf, "part")
-    cats = en.broadcast_if_small(_sql03_categories(spark, sf))
+    cats = _sql03_categories(spark, sf)
     return p.join(cats, "p_type", "inner").select(F.col("p_partkey").alias("product_id"))
 
 

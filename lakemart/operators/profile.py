@@ -114,11 +114,18 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     fractions = [i / buckets for i in range(1, buckets)]
     split_rows = hist.groupBy("col").agg(F.percentile_approx("v", fractions, 10 * buckets).alias("s")).collect()
     splits = {r["col"]: sorted(set(r["s"] or [])) for r in split_rows}
-    split_map = F.create_map(*[x for c, s in splits.items()
-                               for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in s]).cast("array<double>"))])
-    hb = hist.withColumn("b", F.size(F.filter(F.coalesce(F.element_at(split_map, F.col("col")),
-                                                         F.array().cast("array<double>")),
-                                              lambda x: x < F.col("v"))))
+    # Bucket = position among the column's split points, by binary search
+    # (Bucketizer, JVM-side) — one bucketizer per column, unioned.
+    from pyspark.ml.feature import Bucketizer
+    parts = []
+    for c in cols:
+        edges = [-float("inf")] + [float(v) for v in splits.get(c, [])] + [float("inf")]
+        one = hist.filter(F.col("col") == c)
+        parts.append(Bucketizer(splits=edges, inputCol="v", outputCol="bd").transform(one)
+                     .withColumn("b", F.col("bd").cast("int")).drop("bd"))
+    hb = parts[0]
+    for p_ in parts[1:]:
+        hb = hb.unionByName(p_)
     per_b = {}
     for r in hb.groupBy("col", "b").agg(F.sum("c").alias("bc")).collect():
         per_b.setdefault(r["col"], []).append((r["b"], r["bc"]))

@@ -88,6 +88,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/lakemart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one testdata-style parquet table ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one testdata-style parquet table ``{sf_dir}/{name}.parquet``.
+
+    The (lazy) DataFrame handle is reused within a session, so footers and
+    the file listing are resolved once; every action still scans the files.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path) if os.path.exists(path) else None)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df

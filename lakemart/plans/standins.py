@@ -112,7 +112,10 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     seconds = F.round(F.col("value") * 60).cast("int")
     tipped = F.col("event_type").isin("purchase", "view")
-    tip = F.when(tipped, F.floor(F.col("value") * 15) / 100.0).otherwise(0.0)
+    # Whole-dollar money (floor of the same IEEE expression in every engine):
+    # exact sums, bit-identical averages.
+    fare = F.floor("value").cast("double")
+    tip = F.when(tipped, F.floor(F.col("value") * 15 / 100).cast("double")).otherwise(0.0)
     return e.select(
         (F.col("user_id") % 2 + 1).alias("vendorid"),
         F.col("ts").alias("tpep_pickup_datetime"),
@@ -124,13 +127,13 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 25).alias("pulocationid"),
         (k % 25).cast("bigint").alias("dolocationid"),
         _code_case("event_type", EVENT_TYPE_PAYMENT).alias("payment_type"),
-        F.col("value").alias("fare_amount"),
+        fare.alias("fare_amount"),
         F.lit(0.5).alias("extra"),
         F.lit(0.5).alias("mta_tax"),
         tip.alias("tip_amount"),
         F.lit(0.0).alias("tolls_amount"),
         F.lit(0.3).alias("improvement_surcharge"),
-        (F.col("value") + tip).alias("total_amount"),
+        (fare + tip).alias("total_amount"),
         F.lit(0.0).alias("congestion_surcharge"),
         F.lit(0.0).alias("airport_fee"),
     )
@@ -199,12 +202,13 @@ SELECT user_id % 2 + 1 AS vendorid,
        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 25 AS BIGINT) AS dolocationid,
        CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3
                        WHEN 'error' THEN 4 WHEN 'signup' THEN 5 END AS payment_type,
-       value AS fare_amount,
+       CAST(floor(value) AS DOUBLE) AS fare_amount,
        0.5::DOUBLE AS extra, 0.5::DOUBLE AS mta_tax,
-       CASE WHEN event_type IN ('purchase', 'view') THEN floor(value * 15) / 100.0::DOUBLE ELSE 0.0::DOUBLE END AS tip_amount,
+       CASE WHEN event_type IN ('purchase', 'view') THEN CAST(floor(value * 15 / 100) AS DOUBLE)
+            ELSE 0.0::DOUBLE END AS tip_amount,
        0.0::DOUBLE AS tolls_amount, 0.3::DOUBLE AS improvement_surcharge,
-       value + CASE WHEN event_type IN ('purchase', 'view') THEN floor(value * 15) / 100.0::DOUBLE ELSE 0.0::DOUBLE END
-         AS total_amount,
+       CAST(floor(value) AS DOUBLE) + CASE WHEN event_type IN ('purchase', 'view')
+         THEN CAST(floor(value * 15 / 100) AS DOUBLE) ELSE 0.0::DOUBLE END AS total_amount,
        0.0::DOUBLE AS congestion_surcharge, 0.0::DOUBLE AS airport_fee
 FROM events
 """

@@ -152,3 +152,35 @@ def range_group_count(spark, sf):
     rows = ids.selectExpr("id", "id * 2 AS value", "id % 1000 AS key")
     return (rows.repartition(200, "key").groupBy("key")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value_sum")))
+
+
+@query("csv_scan", sql="""
+SELECT o_orderstatus, count(*) AS n, count(o_comment) AS n_comment,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM (SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS o_comment FROM orders)
+GROUP BY ALL""")
+def csv_scan(spark, sf):
+    """CSV written with a full dialect (';', quotes, NULL marker,
+    date formats, gzip), then read back three ways: header + inferred schema,
+    explicit schema, and a glob over the part files."""
+    path = scratch_path(spark, "orders-csv")
+    o = (table(spark, sf, "orders")
+         .withColumn("o_comment", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None))
+                     .otherwise(F.col("o_orderpriority"))))
+    fs.write_csv(o, path, delimiter=";", null_value="NA", compression="gzip")
+    inferred = fs.read_csv(spark, path, header=True, infer=True, delimiter=";", null_value="NA")
+    explicit = fs.read_csv(spark, f"{path}/*.csv.gz", header=True, schema=o.schema, delimiter=";",
+                           null_value="NA")
+    # Both reads must agree; the explicit-schema one feeds the aggregate.
+    assert inferred.columns == explicit.columns
+    return explicit.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.count("o_comment").alias("n_comment"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+
+
+@query("direct_file_sql", sql="""
+SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL""")
+def direct_file_sql(spark, sf):
+    """K9: SQL straight over a file path (no table registration)."""
+    return spark.sql(f"""SELECT o_orderpriority, count(*) AS n FROM parquet.`{_path(sf, 'orders')}`
+                         WHERE o_orderstatus = 'O' GROUP BY o_orderpriority""")

@@ -231,9 +231,13 @@ def load_check(df: DataFrame) -> DataFrame:
 
 def write_slices(df: DataFrame, root: str, slice_col: str = "slice", mode: str = "overwrite") -> None:
     """Write a DataFrame as one folder per slice; dynamic overwrite replaces only
-    the slices present in ``df`` and never the others.  Rows are clustered by
-    slice first, so each task writes few files (no coalesce(1))."""
-    (df.repartition(slice_col).write.mode(mode)
+    the slices present in ``df`` and never the others.
+
+    ``rebalance`` clusters rows by slice so files are few and large, and AQE
+    splits a skewed slice (say a month with a third of all rows) across many
+    tasks instead of writing it from one; no coalesce(1).
+    """
+    (df.hint("rebalance", slice_col).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(slice_col).parquet(root))
 

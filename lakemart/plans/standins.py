@@ -65,17 +65,18 @@ def _code_case(col: str, mapping: dict[str, int]):
 def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped trips from lineitem ⋈ orders (+ customer / supplier nation).
 
-    lineitem ⋈ orders is fact-to-fact: a sort-merge join on the order key
-    (AQE splits skewed keys).  customer and supplier grow with the data too,
-    so they are not force-broadcast; AQE broadcasts them at runtime only when
-    their shuffle statistics are under the threshold.
+    Join order matters at scale: orders ⋈ customer runs first (the smaller
+    side), so the wide lineitem fact is shuffled only twice — by order key,
+    then by supplier key — instead of once more by customer key.  None of
+    these tables is force-broadcast: they grow with the data, and Spark's
+    size check (planner estimate, then AQE runtime statistics) decides.
     """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(c, F.col("o_custkey") == c.c_custkey, "left")
+    oc = o.join(c, o.o_custkey == c.c_custkey, "left")
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
          .join(s, li.l_suppkey == s.s_suppkey, "left"))
     # Whole-dollar amounts: floor of the same IEEE product in every engine,
     # so sums are exact and averages bit-identical across engines.

@@ -124,7 +124,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}")
-    w = df.write.mode(mode).option("compression", compression)
+    if partition_by:
+        # Cluster rows by partition value (few, large files per folder); AQE
+        # splits a skewed partition value over several tasks.
+        df = df.hint("rebalance", *partition_by)
+    w = _parquet_options(df.write.mode(mode).option("compression", compression),
+                         block_size, page_size, dictionary, bloom_columns, max_records_per_file)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+        if dynamic:
+            w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
+def _parquet_options(w, block_size, page_size, dictionary, bloom_columns, max_records_per_file):
     if block_size:
         w = w.option("parquet.block.size", str(block_size))
     if page_size:
@@ -135,11 +148,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression
         w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    return w
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,

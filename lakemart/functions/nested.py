@@ -115,7 +115,11 @@ def to_coordinates(df: DataFrame, row_col: str, vec_col: str) -> DataFrame:
 
 
 def matrix_add(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Element-wise sum of two coordinate matrices (full outer on (i, j))."""
-    return (a.withColumnRenamed("v", "va").join(b.withColumnRenamed("v", "vb"), ["i", "j"], "full_outer")
-            .select("i", "j", (F.coalesce(F.col("va").cast("double"), F.lit(0.0))
-                               + F.coalesce(F.col("vb").cast("double"), F.lit(0.0))).alias("v")))
+    """Element-wise sum of two coordinate matrices (a missing cell is 0).
+
+    Union + ``groupBy(i, j).sum``: one hash aggregation instead of a
+    full-outer sort-merge join; each cell group holds at most two rows.
+    """
+    cells = a.select("i", "j", F.col("v").cast("double").alias("v")).unionByName(
+        b.select("i", "j", F.col("v").cast("double").alias("v")))
+    return cells.groupBy("i", "j").agg(F.sum("v").alias("v"))

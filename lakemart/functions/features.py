@@ -121,6 +121,12 @@ def parse_multi_date(s: str | Column) -> Column:
     )
 
 
+def epoch_to_timestamp(seconds: str | Column) -> Column:
+    """Epoch seconds -> wall-clock TIMESTAMP_NTZ (UTC), whatever the
+    session time zone (``timestamp_seconds`` + cast would shift with it)."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=_c(seconds))
+
+
 def format_minute(ts: str | Column) -> Column:
     """E18."""
     return F.date_format(_c(ts), "yyyy-MM-dd HH:mm")

@@ -127,7 +127,7 @@ def reviews(spark, sf):
 def clean_reviews(spark, sf):
     """Reviews without text or rating dropped; epoch -> timestamp."""
     r = cl.drop_null_keys(reviews(spark, sf), ["reviewText", "overall"])
-    return r.withColumn("review_ts", F.timestamp_seconds("unixReviewTime").cast("timestamp_ntz"))
+    return r.withColumn("review_ts", fx.epoch_to_timestamp("unixReviewTime"))
 
 
 @query("epoch_to_ts", sql=f"SELECT doc_id, asin, review_ts FROM ({CLEAN_REVIEWS_SQL})")

@@ -17,7 +17,7 @@ from lakemart.operators import clean as cl
 from lakemart.operators.marts import build_mart, Mart, n
 from lakemart.plans import trips as tp
 from lakemart.plans.registry import query
-from lakemart.session import table
+from lakemart.session import spread, table
 
 # ---------------------------------------------------------------- flights ----
 
@@ -192,25 +192,27 @@ LEXICON = {"good": 1, "great": 1, "excellent": 1, "happy": 1, "love": 1, "best":
 TOKEN_SPLIT = r"[^\p{L}]+"
 
 
-def _word_alternation(words) -> str:
-    return "(?<!\\p{L})(?:" + "|".join(sorted(words)) + ")(?!\\p{L})"
+def _lexicon_pattern(words) -> str:
+    """One regex for every lexicon word as a whole token.  The first-letter
+    lookahead rejects most positions before the (costlier) lookbehind runs."""
+    first = "".join(sorted({w[0] for w in words}))
+    return f"(?=[{first}])(?<!\\p{{L}})({'|'.join(sorted(words))})(?!\\p{{L}})"
 
 
 def score_text(text_col, lexicon: dict[str, int] = LEXICON):
     """(n_tokens, score) of a text by lexicon lookup, row-local.
 
     Tokens are maximal runs of letters; a lexicon word counts where a token
-    equals it, i.e. where it is not preceded or followed by a letter.  Both
-    counts are ``regexp_count`` expressions (JVM, code-generated) — no
-    explode, no shuffle, no per-token lambda.  A pandas_udf scorer can replace
-    this function where a model is required.
+    equals it.  Two regex passes over the whole text (JVM built-ins): a
+    token count, and one extraction of all lexicon hits; the few hits are then
+    scored against the lexicon map.  No explode, no shuffle, no Python.  A
+    pandas_udf scorer can replace this function where a model is required.
     """
     low = F.lower(text_col)
     n_tok = F.regexp_count(low, F.lit("\\p{L}+"))
-    pos = [w for w, v in lexicon.items() if v > 0]
-    neg = [w for w, v in lexicon.items() if v < 0]
-    score = (F.regexp_count(low, F.lit(_word_alternation(pos)))
-             - F.regexp_count(low, F.lit(_word_alternation(neg))))
+    hits = F.regexp_extract_all(low, F.lit(_lexicon_pattern(lexicon)), 1)
+    lex = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(v))])
+    score = F.aggregate(hits, F.lit(0), lambda acc, w: acc + F.coalesce(F.element_at(lex, w), F.lit(0)))
     return n_tok.cast("int"), score.cast("int")
 
 
@@ -223,7 +225,7 @@ SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens,
 FROM t""")
 def sentiment_lexicon(spark, sf):
     """Lexicon sentiment of every whole document."""
-    d = table(spark, sf, "documents")
+    d = spread(spark, table(spark, sf, "documents").select("doc_id", "text"))
     n_tok, score = score_text(F.col("text"))
     return d.select("doc_id", n_tok.alias("n_tokens"), score.alias("score"))
 

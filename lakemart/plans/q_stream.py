@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakemart.plans import standins as st
 from lakemart.plans.registry import query
-from lakemart.session import scratch_path, table
+from lakemart.session import scratch_path, spread, table
 from lakemart.streaming import stream as ss
 
 MALFORMED_EVERY = 97
@@ -55,7 +55,7 @@ FROM events"""
 
 
 def _decoded(spark, sf):
-    return ss.decode(topic_rows(spark, sf))
+    return ss.decode(spread(spark, topic_rows(spark, sf)))
 
 
 @query("kafka_batch_decode", sql=DECODED_SQL)

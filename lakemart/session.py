@@ -89,6 +89,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _TABLES: dict[tuple, DataFrame] = {}
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(spark: SparkSession, df: DataFrame, total_bytes: int | None = None) -> DataFrame:
+    """Give a scan of few, unsplittable inputs (one row group, one gzip file)
+    enough tasks for the cores before CPU-heavy row-local work (regex over
+    whole texts, JSON parsing): a round-robin repartition when the scan has
+    fewer input files than the default parallelism and holds at least 1 MB.
+
+    Large tables on a cluster span thousands of files and are left alone (no
+    extra shuffle).  Column pruning and filter pushdown pass through the
+    repartition, so the scan still reads only what the query needs.
+    """
+    target = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if total_bytes is None:
+        total_bytes = sum(os.path.getsize(f.removeprefix("file:")) for f in files
+                          if os.path.exists(f.removeprefix("file:")))
+    if len(files) < target and total_bytes >= SPREAD_MIN_BYTES:
+        return df.repartition(target)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,9 +3,9 @@
 Every per-column statistic is computed in ONE aggregate over all columns and
 then unpivoted — never one Spark job per column.  Exact quantiles avoid
 Spark's ``percentile`` (whose final merge holds every distinct value in one
-task): a value histogram is bucketed by approximate splits, bucket counts
-give prefix offsets, and only the bucket holding each target rank is
-resolved exactly.
+task): a value histogram is cut by approximate splits, bucket counts give
+rank offsets, the range holding each wanted rank is refined until it is
+small, and only that bounded range is ranked exactly.
 """
 
 from __future__ import annotations
@@ -93,90 +93,124 @@ def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
     return per_col.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")
 
 
+MAX_EXACT_VALUES = 1_000_000   # distinct values one task may rank exactly
+MAX_REFINE_ROUNDS = 6
+
+
 def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
-                          buckets: int = 512) -> dict[str, list[float | None]]:
+                          buckets: int = 512, max_exact: int = MAX_EXACT_VALUES
+                          ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (``quantile_cont`` semantics) of
-    several columns with a fixed number of jobs, whatever the column count.
-
-    1. histogram of (column, value) -> count: a map-side-combined aggregation,
-       so a hot value costs one row per task; checkpointed (shared storage);
-    2. approximate split points per column over the distinct values (a
-       bounded sketch, ``buckets`` values per column to the driver);
-    3. per-(column, bucket) counts -> prefix offsets on the driver (O(buckets));
-    4. exact ranks resolved inside the target buckets only — each holds about
-       1/buckets of a column's distinct values — by a window per bucket.
+    several columns, with no step that ranks an unbounded set in one task.
+
+    1. histogram of (column, value) -> count: a map-side-combined aggregation
+       (a hot value costs one row per task), checkpointed to shared storage;
+    2. refinement rounds: every open value range is cut at approximate split
+       points (a bounded sketch, ``buckets`` values per range to the driver)
+       with a Bucketizer, bucket row counts give rank offsets (O(buckets)
+       rows to the driver), and each wanted rank narrows to one bucket — about
+       1/``buckets`` of the range's distinct values.  Rounds repeat until a
+       range holds at most ``max_exact`` distinct values (one round suffices
+       up to ``buckets * max_exact`` distinct values);
+    3. one window job ranks each final, bounded range and returns only the
+       rows at the wanted ranks.
+    All columns and probabilities share the same jobs.
     """
+    from pyspark.ml.feature import Bucketizer
+    from pyspark.sql import Window
+
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in cols])).alias("p"))
     hist = (pairs.select("p.col", "p.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
             .groupBy("col", "v").agg(F.count(F.lit(1)).alias("c")))
     hist = hist.checkpoint(eager=True)
-    fractions = [i / buckets for i in range(1, buckets)]
-    split_rows = hist.groupBy("col").agg(F.percentile_approx("v", fractions, 10 * buckets).alias("s")).collect()
-    splits = {r["col"]: sorted(set(r["s"] or [])) for r in split_rows}
-    # Bucket = position among the column's split points, by binary search
-    # (Bucketizer, JVM-side) — one bucketizer per column, unioned.
-    from pyspark.ml.feature import Bucketizer
-    parts = []
-    for c in cols:
-        edges = [-float("inf")] + [float(v) for v in splits.get(c, [])] + [float("inf")]
-        one = hist.filter(F.col("col") == c)
-        parts.append(Bucketizer(splits=edges, inputCol="v", outputCol="bd").transform(one)
-                     .withColumn("b", F.col("bd").cast("int")).drop("bd"))
-    hb = parts[0]
-    for p_ in parts[1:]:
-        hb = hb.unionByName(p_)
-    per_b = {}
-    for r in hb.groupBy("col", "b").agg(F.sum("c").alias("bc")).collect():
-        per_b.setdefault(r["col"], []).append((r["b"], r["bc"]))
-    wanted = {}      # (col, rank) -> bucket
-    offsets = {}     # (col, bucket) -> rank offset
-    totals = {}
+    totals = {r["col"]: (r["n"], r["d"]) for r in
+              hist.groupBy("col").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
+    inf = float("inf")
+    # target (col, rank) -> [lo, hi, offset, distinct]: rank lies in values [lo, hi),
+    # offset = rows of the column below lo.
+    targets = {}
     for c in cols:
-        acc = 0
-        blist = sorted(per_b.get(c, []))
-        for b, bc in blist:
-            offsets[(c, b)] = acc
-            acc += bc
-        totals[c] = acc
-        if acc == 0:
-            continue
+        n, d = totals.get(c, (0, 0))
         for p in probs:
-            pos = p * (acc - 1)
-            for k in (math.floor(pos), math.ceil(pos)):
-                for b, bc in blist:
-                    if offsets[(c, b)] <= k < offsets[(c, b)] + bc:
-                        wanted[(c, k)] = b
-                        break
+            if n:
+                pos = p * (n - 1)
+                for k in (math.floor(pos), math.ceil(pos)):
+                    targets[(c, k)] = [-inf, inf, 0, d]
+
+    def in_range(c, lo, hi):
+        cond = F.col("col") == c
+        if lo != -inf:
+            cond = cond & (F.col("v") >= lo)
+        if hi != inf:
+            cond = cond & (F.col("v") < hi)
+        return cond
+
+    for _ in range(MAX_REFINE_ROUNDS):
+        open_ranges = sorted({(c, lo, hi) for (c, _k), (lo, hi, _o, d) in targets.items() if d > max_exact})
+        if not open_ranges:
+            break
+        rid = {r: i for i, r in enumerate(open_ranges)}
+        tagged = None
+        for r, i in rid.items():
+            part = hist.filter(in_range(*r)).withColumn("rid", F.lit(i))
+            tagged = part if tagged is None else tagged.unionByName(part)
+        fractions = [i / buckets for i in range(1, buckets)]
+        split_rows = tagged.groupBy("rid").agg(
+            F.percentile_approx("v", fractions, 10 * buckets).alias("s")).collect()
+        edges = {}
+        for r in split_rows:
+            c, lo, hi = open_ranges[r["rid"]]
+            inner = sorted({float(x) for x in (r["s"] or []) if lo < x < hi})
+            edges[r["rid"]] = [lo] + inner + [hi] if lo != -inf else [-inf] + inner + [hi]
+        bucketed = None
+        for i, e in edges.items():
+            one = Bucketizer(splits=e, inputCol="v", outputCol="bd").transform(tagged.filter(F.col("rid") == i))
+            bucketed = one if bucketed is None else bucketed.unionByName(one)
+        counts = {}
+        for r in bucketed.groupBy("rid", "bd").agg(F.sum("c").alias("rows"),
+                                                   F.count(F.lit(1)).alias("d")).collect():
+            counts.setdefault(r["rid"], []).append((int(r["bd"]), r["rows"], r["d"]))
+        for (c, k), st in targets.items():
+            lo, hi, off, d = st
+            if d <= max_exact:
+                continue
+            i = rid[(c, lo, hi)]
+            e = edges[i]
+            acc = off
+            for b, rows, dd in sorted(counts.get(i, [])):
+                if acc <= k < acc + rows:
+                    targets[(c, k)] = [e[b], e[b + 1], acc, dd]
+                    break
+                acc += rows
+
     result = {c: [None] * len(probs) for c in cols}
-    if not wanted:
+    if not targets:
         return result
-    from pyspark.sql import Window
-    need = sorted({(c, b) for (c, _), b in wanted.items()})
-    need_cond = None
-    for c, b in need:
-        cond = (F.col("col") == c) & (F.col("b") == b)
-        need_cond = cond if need_cond is None else need_cond | cond
-    w = Window.partitionBy("col", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sub = hb.filter(need_cond).withColumn("cum", F.sum("c").over(w))
+    final = sorted({(c, lo, hi, off) for (c, _k), (lo, hi, off, _d) in targets.items()})
+    fid = {r: i for i, r in enumerate(final)}
+    ranked = None
+    for (c, lo, hi, off), i in fid.items():
+        part = hist.filter(in_range(c, lo, hi)).withColumn("fid", F.lit(i)).withColumn("off", F.lit(off))
+        ranked = part if ranked is None else ranked.unionByName(part)
+    w = Window.partitionBy("fid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranked.withColumn("cum", F.sum("c").over(w) + F.col("off"))
     hit = None
-    for (c, k), b in wanted.items():
-        off = offsets[(c, b)]
-        cond = ((F.col("col") == c) & (F.col("b") == b) & (F.col("cum") - F.col("c") + off <= k)
-                & (F.col("cum") - 1 + off >= k))
+    for (c, k), (lo, hi, off, _d) in targets.items():
+        cond = ((F.col("fid") == fid[(c, lo, hi, off)]) & (F.col("cum") - F.col("c") <= k)
+                & (F.col("cum") - 1 >= k))
         hit = cond if hit is None else hit | cond
     value_at = {}
-    for r in sub.filter(hit).select("col", "b", "v", "c", "cum").collect():
-        lo = r["cum"] - r["c"] + offsets[(r["col"], r["b"])]
-        hi = r["cum"] - 1 + offsets[(r["col"], r["b"])]
-        for (c, k) in wanted:
-            if c == r["col"] and lo <= k <= hi:
+    for r in ranked.filter(hit).select("col", "v", "c", "cum").collect():
+        for (c, k) in targets:
+            if c == r["col"] and r["cum"] - r["c"] <= k <= r["cum"] - 1:
                 value_at[(c, k)] = r["v"]
     for c in cols:
-        if totals[c] == 0:
+        n = totals.get(c, (0, 0))[0]
+        if not n:
             continue
         for i, p in enumerate(probs):
-            pos = p * (totals[c] - 1)
+            pos = p * (n - 1)
             lo, hi = math.floor(pos), math.ceil(pos)
             a, b = value_at[(c, lo)], value_at[(c, hi)]
             result[c][i] = a if lo == hi else a + (b - a) * (pos - lo)

@@ -49,3 +49,14 @@ def test_null_profile_one_pass(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     got = {r.column_name: (r.null_count, r.null_pct) for r in pf.null_profile(df).collect()}
     assert got == {"a": (1, 50.0), "b": (2, 100.0)}
+
+
+def test_exact_quantiles_refinement_rounds(spark):
+    rng = np.random.default_rng(11)
+    a = np.concatenate([rng.normal(size=4000), np.full(1500, -0.5)])
+    b = rng.exponential(size=a.size)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    probs = [0.01, 0.25, 0.5, 0.9, 1.0]
+    got = pf.exact_quantiles_multi(df, ["a", "b"], probs, buckets=8, max_exact=50)
+    assert np.allclose(got["a"], np.quantile(a, probs), rtol=0, atol=1e-12)
+    assert np.allclose(got["b"], np.quantile(b, probs), rtol=0, atol=1e-12)

@@ -74,6 +74,13 @@ def numeric_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+def describe(df: DataFrame, cols: list[str] | None = None,
+             stats: tuple = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")) -> DataFrame:
+    """H7: Spark's ``summary`` (one job; percentiles are approximate)."""
+    sel = df.select(*(cols or numeric_columns(df)))
+    return sel.summary(*stats)
+
+
 def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """H8: count, unique, top, freq per string column (pandas ``describe``).
 

@@ -40,6 +40,18 @@ PROFILES: dict[str, dict[str, str]] = {
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.ui.enabled": "false",
     },
+    # ---- fixed values: the reference's tuned single-host profile -------------
+    "tuned": {
+        "spark.executor.instances": "2",
+        "spark.executor.cores": "8",
+        "spark.executor.memory": "14g",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "100",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    },
     "streaming": {
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",

@@ -72,3 +72,11 @@ def test_file_name_and_schema_drift(spark):
     spark.range(3).withColumn("x", F.lit(1.5)).withColumn("y", F.lit("n")).write.parquet(b)
     got = {(r.column_name, r.slice): r.type for r in pf.schema_drift(spark, {"a": a, "b": b}).collect()}
     assert got[("x", "a")] == "int" and got[("x", "b")] == "double" and got[("y", "a")] is None
+
+
+def test_describe_and_profiles(spark):
+    from lakemart.session import PROFILES
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
+    rows = {r.summary: r.x for r in pf.describe(df).collect()}
+    assert rows["count"] == "3" and float(rows["mean"]) == 2.0
+    assert {"local", "cluster", "tuned", "streaming"} <= set(PROFILES)

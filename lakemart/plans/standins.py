@@ -123,7 +123,9 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("ts") + F.make_dt_interval(secs=seconds)).alias("tpep_dropoff_datetime"),
         (F.col("user_id") % 7).cast("int").alias("passenger_count"),
         (k / 4.0).alias("trip_distance"),
-        F.lit(1).alias("ratecodeid"),
+        # rate code from the data (a literal key would turn the dimension
+        # join into a nested-loop join): very long trips use code 2
+        F.when(F.col("value") > 300, 2).otherwise(1).alias("ratecodeid"),
         F.lit("N").alias("store_and_fwd_flag"),
         (F.col("user_id") % 25).alias("pulocationid"),
         (k % 25).cast("bigint").alias("dolocationid"),
@@ -197,7 +199,7 @@ SELECT user_id % 2 + 1 AS vendorid,
        ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS tpep_dropoff_datetime,
        CAST(user_id % 7 AS INTEGER) AS passenger_count,
        CAST(json_extract_string(props, '$.k') AS INTEGER) / 4.0::DOUBLE AS trip_distance,
-       1 AS ratecodeid,
+       CASE WHEN value > 300 THEN 2 ELSE 1 END AS ratecodeid,
        'N' AS store_and_fwd_flag,
        user_id % 25 AS pulocationid,
        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 25 AS BIGINT) AS dolocationid,

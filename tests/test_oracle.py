@@ -1,9 +1,13 @@
 """Every registered query against its DuckDB oracle on the smallest scale
 (the driver runs the same comparison at sf0.01); rows-only queries must run."""
 
+import re
+
 import duckdb
 import pytest
 
+from lakemart.plans.catalog import explain_text
+
 import __spark_entry__ as entry
 from tools.check_oracle import TABLES, rows_of
 
@@ -27,6 +31,9 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
+    plan = explain_text(df, "formatted")
+    # plan hygiene: no cartesian / nested-loop joins, no Python in the plan
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLE:
         assert df.columns

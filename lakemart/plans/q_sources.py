@@ -80,12 +80,11 @@ def scan_new_partitions(spark, sf):
     root = scratch_path(spark, "events-by-day")
     e = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     fs.write_parquet(e, root, partition_by=["day"])
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = fs.read_parquet(spark, [f"{root}/day=2024-01-15", f"{root}/day=2024-01-16"], base_path=root)
-        return df.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionColumnTypeInference.enabled")
+    # An explicit schema types the partition column (no session-wide switch).
+    schema = e.schema
+    df = (spark.read.schema(schema).option("basePath", root)
+          .parquet(f"{root}/day=2024-01-15", f"{root}/day=2024-01-16"))
+    return df.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("orc_roundtrip", sql="SELECT * FROM customer")

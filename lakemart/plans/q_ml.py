@@ -182,3 +182,32 @@ def model_metrics(spark, sf):
     pred = model.transform(test)
     metrics = {**ml.binary_metrics(pred), **ml.multiclass_metrics(pred)}
     return ml.metric_table(spark, "random_forest", metrics)
+
+
+@query("gbt_regression_metrics")
+def gbt_regression_metrics(spark, sf):
+    """M12/M13/M17/M19/M20 (rows-only): gradient-boosted and random-forest
+    regressors predicting the line price from quantity, discount, tax and
+    line number on a 70/30 split; one-pass metrics per model, plus the top
+    feature importance, as (model_type, metric, value) rows."""
+    li = table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_linenumber",
+                                            "l_extendedprice")
+    feats = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+    data = ml.assembler(feats).transform(li)
+    train, test = ml.random_split(data, 0.7, 42)
+    out = None
+    # small models keep the check quick; the builders' defaults carry the
+    # original notebooks' hyper-parameters
+    for name, model in (("gbt_regressor", ml.gbt_regressor("l_extendedprice", iters=10, depth=3)),
+                        ("rf_regressor", ml.rf_regressor("l_extendedprice", trees=10, depth=4))):
+        fitted = model.fit(train)
+        pred = fitted.transform(test)
+        m = ml.regression_metrics(pred, "l_extendedprice")
+        rows = m.select(F.lit(name).alias("model_type"), F.explode(F.create_map(
+            *[x for c in ("rmse", "mse", "mae", "r2", "mape") for x in (F.lit(c), F.col(c))])).alias("metric", "value"))
+        top = ml.feature_importances(spark, fitted, pred).limit(1).select(
+            F.lit(name).alias("model_type"), F.concat(F.lit("top_feature:"), "feature").alias("metric"),
+            F.col("importance").alias("value"))
+        part = rows.unionByName(top)
+        out = part if out is None else out.unionByName(part)
+    return out

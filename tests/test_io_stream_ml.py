@@ -82,3 +82,24 @@ def test_snapshot_time_travel(spark):
     t.commit(spark.range(10), "overwrite")
     assert t.read(2).count() == 5 and t.read(3).count() == 10 and t.read().count() == 10
     assert [r.operation for r in t.history().orderBy("version").collect()] == ["append", "append", "overwrite"]
+
+
+def test_regressors_and_metrics_agree_with_spark(spark, sf):
+    from lakemart.session import table
+    li = table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
+    data = ml.assembler(["l_quantity", "l_discount"]).transform(li)
+    for model in (ml.gbt_regressor("l_extendedprice", iters=5, depth=3),
+                  ml.rf_regressor("l_extendedprice", trees=5, depth=4)):
+        pred = model.fit(data).transform(data)
+        mine = ml.regression_metrics(pred, "l_extendedprice").first()
+        theirs = ml.regression_metrics_eval(pred, "l_extendedprice")
+        for k in ("rmse", "mse", "mae", "r2"):
+            assert abs(mine[k] - theirs[k]) <= 1e-6 * max(1.0, abs(theirs[k]))
+
+
+def test_gbt_classifier_binary_metrics(spark, sf):
+    from lakemart.plans.q_ml import labeled
+    data = labeled(spark, sf).drop("prediction").withColumn("label", F.col("label").cast("double"))
+    model = ml.build_pipeline(["lang"], ["n_chars", "toxic"], ml.gbt_classifier("label", iters=5, depth=3)).fit(data)
+    m = ml.binary_metrics(model.transform(data))
+    assert 0.0 <= m["areaUnderROC"] <= 1.0 and 0.0 <= m["areaUnderPR"] <= 1.0

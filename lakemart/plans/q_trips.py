@@ -466,3 +466,19 @@ def q_incremental_norm(spark, sf):
     lake.write_slices(trips.filter(F.col("slice") >= "1998-01"), bronze)
     second = lake.incremental_normalize(spark, bronze, silver, manifest)
     return first.unionByName(second)
+
+
+@query("zone_lookup_csv", sql=tp.with_eda(L, f"""
+SELECT z.borough AS pickup_borough_csv, count(*) AS trips
+FROM eda LEFT JOIN ({st.ZONES_SQL}) z ON eda.pulocationid = z.locationid GROUP BY ALL"""))
+def zone_lookup_csv(spark, sf):
+    """F15j/A3: the zone lookup kept as a small CSV with an explicit schema,
+    read back and left-joined (broadcast: a bounded geography) to the trips."""
+    path = scratch_path(spark, "zones-csv")
+    from lakemart.sources import files as fs
+    fs.write_csv(st.zones(spark, sf), path)
+    zones = fs.read_csv(spark, path, header=True, schema="locationid bigint, borough string, zone string")
+    e = tp.eda(spark, sf, L)
+    j = e.join(F.broadcast(zones.select("locationid", F.col("borough").alias("pickup_borough_csv"))),
+               e.pulocationid == F.col("locationid"), "left")
+    return j.groupBy("pickup_borough_csv").agg(F.count(F.lit(1)).alias("trips"))

@@ -80,3 +80,20 @@ def test_describe_and_profiles(spark):
     rows = {r.summary: r.x for r in pf.describe(df).collect()}
     assert rows["count"] == "3" and float(rows["mean"]) == 2.0
     assert {"local", "cluster", "tuned", "streaming"} <= set(PROFILES)
+
+
+def test_nested_helpers(spark):
+    from lakemart.functions import nested as nx
+    df = spark.createDataFrame([('["a", "b"]',), ("plain",)], "t string")
+    assert [r[0] for r in df.select(nx.text_of("t")).collect()] == ["ab", "plain"]
+    arr = spark.createDataFrame([([],), (["x", "y"],), (None,)], "a array<string>")
+    assert [r[0] for r in arr.select(nx.first_or_null("a")).collect()] == [None, "x", None]
+    doc = spark.createDataFrame(
+        [(1, [([5.0, 6.0], 1.0)], 2.0)],
+        "id int, items array<struct<sub: array<double>, price: double>>, price double")
+    # $..price: top-level and inside the array of structs
+    got = sorted(r.price for r in nx.deep_values(doc, "price", ["id"]).collect())
+    assert got == [1.0, 2.0]
+    nested = spark.createDataFrame([(1, [[{"price": 3.0}], [{"price": 4.0}]])],
+                                   "id int, lv array<array<struct<price: double>>>")
+    assert sorted(r.price for r in nx.deep_values(nested, "price", ["id"]).collect()) == [3.0, 4.0]

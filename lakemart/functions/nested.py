@@ -54,7 +54,9 @@ def json_object_rows(text: DataFrame, value_schema: str, key_name: str = "key")
 
     ``value`` is read with ``wholetext=True``; ``from_json`` with a
     ``map<string, struct>`` schema turns missing fields into NULL (never into
-    a placeholder) and ``explode`` yields (key, value) rows.
+    a placeholder) and ``explode`` yields (key, value) rows.  Each file is one
+    task, so producers of such objects should keep files bounded (the
+    catalogue writer here puts at most 50 objects in a file).
     """
     parsed = text.select(F.explode(F.from_json("value", f"map<string, {value_schema}>")).alias(key_name, "v"))
     return parsed.select(key_name, "v.*")

@@ -116,10 +116,12 @@ def spread(spark: SparkSession, df: DataFrame, total_bytes: int | None = None) -
     """
     target = spark.sparkContext.defaultParallelism
     files = df.inputFiles()
+    if not files or len(files) >= target:
+        return df                      # already as many inputs as cores
     if total_bytes is None:
         total_bytes = sum(os.path.getsize(f.removeprefix("file:")) for f in files
                           if os.path.exists(f.removeprefix("file:")))
-    if len(files) < target and total_bytes >= SPREAD_MIN_BYTES:
+    if total_bytes >= SPREAD_MIN_BYTES:
         return df.repartition(target)
     return df
 

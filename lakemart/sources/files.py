@@ -87,7 +87,9 @@ def read_json_lines(spark: SparkSession, path, schema=None, **options) -> DataFr
 
 
 def read_json_documents(spark: SparkSession, path, schema=None, encoding: str = "UTF-8") -> DataFrame:
-    """One (multi-line) JSON document per file; a file is not splittable."""
+    """One (multi-line) JSON document per file.  A file is not splittable
+    and is parsed by one task, so documents should be bounded in size (the
+    chat export writes at most 64 messages per document, one per file)."""
     r = spark.read.option("multiLine", "true").option("encoding", encoding)
     if schema is not None:
         r = r.schema(schema)

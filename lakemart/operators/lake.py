@@ -183,17 +183,14 @@ def enrich_trips(clean: DataFrame, vendors: DataFrame, ratecodes: DataFrame,
     Spark's size check decides (planner estimate, then AQE runtime statistics);
     the fact is already partitioned by the vendor key after the supplier join.
     """
-    z = F.broadcast(zones)
-    pu = z.select(F.col("locationid").alias("pulocationid"),
-                  F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone"))
-    do = z.select(F.col("locationid").alias("dolocationid"),
-                  F.col("borough").alias("dropoff_borough"), F.col("zone").alias("dropoff_zone"))
-    return (clean
-            .join(vendors, "vendorid", "left")
-            .join(F.broadcast(ratecodes), "ratecodeid", "left")
-            .join(F.broadcast(payments), "payment_type", "left")
-            .join(pu, "pulocationid", "left")
-            .join(do, "dolocationid", "left"))
+    from lakemart.operators.enrich import role_playing
+    facts = (clean
+             .join(vendors, "vendorid", "left")
+             .join(F.broadcast(ratecodes), "ratecodeid", "left")
+             .join(F.broadcast(payments), "payment_type", "left"))
+    return role_playing(facts, F.broadcast(zones), "locationid",
+                        {"pickup": "pulocationid", "dropoff": "dolocationid"},
+                        {"borough": "borough", "zone": "zone"})
 
 
 def eda(trips: DataFrame, bounds: dict[str, Bound], vendors: DataFrame, ratecodes: DataFrame,

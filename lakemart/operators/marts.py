@@ -156,9 +156,10 @@ def simple_counts(df: DataFrame) -> DataFrame:
     return out
 
 
-def growth_ratio_of_aggregates(df: DataFrame, keys: list[str], num: str) -> DataFrame:
-    """Ratio of averages per key, descending."""
+def ratio_of_averages(df: DataFrame, keys: list[str], num: str,
+                      den: str = "trip_duration_minutes") -> DataFrame:
+    """Ratio of averages per key (revenue per minute of a group), descending."""
     return (df.groupBy(*keys)
-            .agg((F.avg(num) / F.avg("trip_duration_minutes")).alias("revenue_per_minute_ratio"),
+            .agg((F.avg(num) / F.avg(den)).alias("revenue_per_minute_ratio"),
                  n().alias("trips"))
             .orderBy(F.desc("revenue_per_minute_ratio")))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import features as fx
 from lakemart.operators import clean as cl
-from lakemart.operators.marts import build_mart, Mart, n
 from lakemart.plans import trips as tp
 from lakemart.plans.registry import query
 from lakemart.session import spread, table
@@ -274,8 +273,8 @@ SELECT time_of_day, avg(total_amount) / avg(trip_duration_minutes) AS revenue_pe
 FROM eda GROUP BY ALL"""))
 def profitability(spark, sf):
     """Ratio of averages per day part (a fixed key), descending."""
-    from lakemart.operators.marts import growth_ratio_of_aggregates
-    return growth_ratio_of_aggregates(tp.eda(spark, sf, "events"), ["time_of_day"], "total_amount")
+    from lakemart.operators.marts import ratio_of_averages
+    return ratio_of_averages(tp.eda(spark, sf, "events"), ["time_of_day"], "total_amount")
 
 
 @query("distinct_months", sql=tp.with_eda("lineitem", """

@@ -125,3 +125,38 @@ def matrix_add(a: DataFrame, b: DataFrame) -> DataFrame:
     cells = a.select("i", "j", F.col("v").cast("double").alias("v")).unionByName(
         b.select("i", "j", F.col("v").cast("double").alias("v")))
     return cells.groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
+def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str, key: str,
+                        max_depth: int = 64) -> DataFrame:
+    """J6 over JSON of *any* shape: ``$..key`` with the VARIANT type.
+
+    Documents are parsed once (``parse_json``) and walked one level per round
+    with the ``variant_explode`` table function: scalar values whose key
+    matches are kept, objects and arrays go to the next round.  Each round's
+    frontier is checkpointed to shared storage, so lineage stays one level
+    deep and a lost executor recomputes one round.  Rounds are bounded by the
+    documents' nesting depth (``max_depth`` guards malformed input); all the
+    work is distributed — nothing is collected.
+    """
+    import uuid
+
+    ids = ", ".join(f"`{c}`" for c in id_cols)
+    frontier = df.select(*id_cols, F.parse_json(json_col).alias("v"))
+    found = []
+    for _ in range(max_depth):
+        view = f"lakemart_variant_{uuid.uuid4().hex[:12]}"
+        frontier.createOrReplaceTempView(view)
+        level = spark.sql(f"SELECT {ids}, e.key AS k, e.value AS v "
+                          f"FROM {view}, LATERAL variant_explode(v) AS e")
+        kind = F.schema_of_variant("v")
+        container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        found.append(level.filter((F.col("k") == key) & ~container)
+                     .select(*id_cols, F.try_variant_get("v", "$", "double").alias(key)))
+        frontier = level.filter(container).select(*id_cols, "v").checkpoint(eager=True)
+        if frontier.isEmpty():
+            break
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out.filter(F.col(key).isNotNull())

@@ -228,15 +228,16 @@ def scan_permissive_json(spark, sf):
     return counts.withColumn("n_dropmalformed", F.lit(n_drop).cast("bigint"))
 
 
-@query("json_deep_values", sql="""
+DEEP_SQL = """
 SELECT l_orderkey, l_linenumber, price FROM (
   SELECT l_orderkey, l_linenumber, l_extendedprice AS price FROM lineitem
   UNION ALL SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
   UNION ALL SELECT l_orderkey, l_linenumber, l_discount * 100 FROM lineitem
-  UNION ALL SELECT l_orderkey, l_linenumber, l_linenumber * 10.0 FROM lineitem)""")
-def json_deep_values(spark, sf):
-    """Every ``price`` at any depth of JSON documents ($..price)."""
-    li = table(spark, sf, "lineitem")
+  UNION ALL SELECT l_orderkey, l_linenumber, l_linenumber * 10.0 FROM lineitem)"""
+
+
+def _deep_docs(li):
+    """Nested documents with ``price`` at three depths (store.items[], cart.products[], sale)."""
     doc = li.select(
         "l_orderkey", "l_linenumber",
         F.struct(F.struct(F.array(F.struct(F.col("l_extendedprice").alias("price")),
@@ -244,14 +245,34 @@ def json_deep_values(spark, sf):
                  F.struct(F.array(F.struct((F.col("l_discount") * 100).alias("price"))).alias("products"),
                           F.col("l_tax").alias("total")).alias("cart"),
                  F.struct((F.col("l_linenumber") * 10.0).alias("price")).alias("sale")).alias("d"))
+    return doc.select("l_orderkey", "l_linenumber", "d.*")
+
+
+@query("json_deep_values", sql=DEEP_SQL)
+def json_deep_values(spark, sf):
+    """Every ``price`` at any depth of JSON documents ($..price), paths from the schema."""
     path = scratch_path(spark, "deep-json")
-    docs = doc.select("l_orderkey", "l_linenumber", "d.*")
+    docs = _deep_docs(table(spark, sf, "lineitem"))
     docs.write.json(path)
     # Explicit schema: no inference pass over the documents.
     back = spark.read.schema(docs.schema).json(path)
     return nx.deep_values(back, "price", ["l_orderkey", "l_linenumber"])
 
 
+@query("json_deep_values_variant", sql=DEEP_SQL)
+def json_deep_values_variant(spark, sf):
+    """J6 without a schema: the same documents read as plain text lines and
+    walked with VARIANT (``parse_json`` + ``variant_explode`` per level)."""
+    li = table(spark, sf, "lineitem")
+    path = scratch_path(spark, "deep-json-text")
+    _deep_docs(li).write.json(path)
+    lines = spark.read.text(path)
+    v = F.parse_json("value")
+    docs = lines.select(F.variant_get(v, "$.l_orderkey", "bigint").alias("l_orderkey"),
+                        F.variant_get(v, "$.l_linenumber", "int").alias("l_linenumber"), "value")
+    return nx.deep_values_variant(spark, docs, ["l_orderkey", "l_linenumber"], "value", "price")
+
+
 @query("json_roundtrip", sql="""
 SELECT c_custkey, c_mktsegment AS segment, c_acctbal AS balance, c_nationkey AS nation, true AS same
 FROM customer""")

@@ -97,3 +97,15 @@ def test_nested_helpers(spark):
     nested = spark.createDataFrame([(1, [[{"price": 3.0}], [{"price": 4.0}]])],
                                    "id int, lv array<array<struct<price: double>>>")
     assert sorted(r.price for r in nx.deep_values(nested, "price", ["id"]).collect()) == [3.0, 4.0]
+
+
+def test_deep_values_variant_heterogeneous(spark):
+    from lakemart.functions import nested as nx
+    docs = spark.createDataFrame([
+        (1, '{"store": {"items": [{"price": 50}, {"price": 100}]}, "cart": {"products": [{"price": 75}], '
+            '"total": 225}, "sale": {"price": 50}, "price": 100}'),
+        (2, '[{"a": [[{"price": 1.5}]]}, {"price": "n/a"}, 3]'),
+        (3, '{"nothing": true}'),
+    ], "id int, j string")
+    got = sorted((r.id, r.price) for r in nx.deep_values_variant(spark, docs, ["id"], "j", "price").collect())
+    assert got == [(1, 50.0), (1, 50.0), (1, 75.0), (1, 100.0), (1, 100.0), (2, 1.5)]

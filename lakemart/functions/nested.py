@@ -28,7 +28,9 @@ def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
 
 def explode_chats(doc: DataFrame) -> DataFrame:
     """Chats.list[] -> chat, then chat.messages[] -> message, keeping parent
-    fields.  Chats with an empty ``messages`` array produce no rows (explode)."""
+    fields.  Chats with an empty ``messages`` array produce no rows (explode).
+    ``text`` read as a string may hold a JSON array of pieces (F15); it is
+    joined back into one string."""
     chats = doc.select(F.explode("chats.list").alias("chat"))
     msgs = chats.select(
         F.col("chat.id").alias("chat_id"), F.col("chat.name").alias("chat_name"),
@@ -36,7 +38,7 @@ def explode_chats(doc: DataFrame) -> DataFrame:
     return msgs.select("chat_id", "chat_name", "chat_type",
                        F.col("m.id").alias("message_id"), F.col("m.date").alias("date"),
                        F.col("m.from").alias("from"), F.col("m.from_id").alias("from_id"),
-                       F.col("m.text").alias("text"), F.col("m.type").alias("type"))
+                       text_of(F.col("m.text")).alias("text"), F.col("m.type").alias("type"))
 
 
 def text_of(c: str | Column) -> Column:
@@ -46,7 +48,8 @@ def text_of(c: str | Column) -> Column:
     """
     col = F.col(c) if isinstance(c, str) else c
     arr = F.from_json(col, "array<string>")
-    return F.when(F.trim(col).startswith("["), F.array_join(arr, "")).otherwise(col)
+    # a plain text that merely starts with "[" is kept as it is
+    return F.when(F.trim(col).startswith("["), F.coalesce(F.array_join(arr, ""), col)).otherwise(col)
 
 
 def json_object_rows(text: DataFrame, value_schema: str, key_name: str = "key") -> DataFrame:

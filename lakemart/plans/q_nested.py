@@ -26,10 +26,15 @@ CHAT_SCHEMA = ("chats STRUCT<list: ARRAY<STRUCT<id: BIGINT, name: STRING, type:
 def write_chat_export(spark, sf) -> str:
     """Chat-export documents (one multi-line JSON file each) from conversations."""
     c = table(spark, sf, "conversations")
+    # As in real exports, some messages carry their text as an array of
+    # pieces (split after ". ", so the pieces join back to the original).
+    pieces = F.parse_json(F.to_json(F.split("text", r"(?<=\. )")))
+    plain = F.variant_get(F.parse_json(F.to_json(F.struct(F.col("text").alias("t")))), "$.t", "variant")
+    text = F.when(F.col("turn") % 5 == 2, pieces).otherwise(plain)
     msg = F.struct(F.col("turn").alias("id"), F.lit(None).cast("string").alias("date"),
                    F.col("role").alias("from"),
                    F.concat(F.col("role"), F.lit("_"), F.col("conv_id").cast("string")).alias("from_id"),
-                   F.col("text"), F.lit("message").alias("type"))
+                   text.alias("text"), F.lit("message").alias("type"))
     chunks = c.groupBy("conv_id", (F.col("turn") / CHAT_CHUNK).cast("bigint").alias("chunk")).agg(
         F.collect_list(msg).alias("messages"))
     chat = F.struct(F.col("conv_id").alias("id"),

@@ -84,8 +84,8 @@ def test_describe_and_profiles(spark):
 
 def test_nested_helpers(spark):
     from lakemart.functions import nested as nx
-    df = spark.createDataFrame([('["a", "b"]',), ("plain",)], "t string")
-    assert [r[0] for r in df.select(nx.text_of("t")).collect()] == ["ab", "plain"]
+    df = spark.createDataFrame([('["a", "b"]',), ("plain",), ("[note] kept",)], "t string")
+    assert [r[0] for r in df.select(nx.text_of("t")).collect()] == ["ab", "plain", "[note] kept"]
     arr = spark.createDataFrame([([],), (["x", "y"],), (None,)], "a array<string>")
     assert [r[0] for r in arr.select(nx.first_or_null("a")).collect()] == [None, "x", None]
     doc = spark.createDataFrame(

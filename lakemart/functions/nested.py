@@ -139,8 +139,9 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
     matches are kept, objects and arrays go to the next round.  Each round's
     frontier is checkpointed to shared storage, so lineage stays one level
     deep and a lost executor recomputes one round.  Rounds are bounded by the
-    documents' nesting depth (``max_depth`` guards malformed input); all the
-    work is distributed — nothing is collected.
+    documents' nesting depth; input nested deeper than ``max_depth`` raises
+    rather than losing values.  All the work is distributed — nothing is
+    collected.
     """
     import uuid
 
@@ -159,6 +160,8 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
         frontier = level.filter(container).select(*id_cols, "v").checkpoint(eager=True)
         if frontier.isEmpty():
             break
+    else:
+        raise ValueError(f"documents nest deeper than max_depth={max_depth}")
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)

@@ -73,13 +73,15 @@ def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def hierarchy(spark: SparkSession, nodes: DataFrame, max_depth: int = 100) -> DataFrame:
+def hierarchy(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     """I12/I13/F14j: walk ``(id, parent_id, name)`` from the roots.
 
     Spark's recursive CTE (a UNION ALL of the anchor and one join per level)
-    computes level and the " -> " path; an id array guards against cycles and
-    ``max_depth`` caps runaway recursion.  Orphans (parent not found) are
-    unreachable from a root and therefore dropped, as in the original.
+    computes level and the " -> " path.  An id array stops cycles exactly, so
+    the walk always ends; no depth cap truncates results — a hierarchy deeper
+    than ``spark.sql.cteRecursionLevelLimit`` fails loudly instead (raise the
+    limit for such data).  Orphans (parent not found) are unreachable from a
+    root and therefore dropped, as in the original.
     """
     view = f"lakemart_nodes_{uuid.uuid4().hex[:12]}"
     nodes.createOrReplaceTempView(view)
@@ -91,7 +93,7 @@ def hierarchy(spark: SparkSession, nodes: DataFrame, max_depth: int = 100) -> Da
           SELECT n.id, n.parent_id, n.name, t.level + 1, concat(t.path, ' -> ', n.name),
                  concat(t.seen, array(n.id))
           FROM {view} n JOIN tree t ON n.parent_id = t.id
-          WHERE NOT array_contains(t.seen, n.id) AND t.level < {max_depth}
+          WHERE NOT array_contains(t.seen, n.id)
         )
         SELECT id, parent_id, name, level, path FROM tree""")
 

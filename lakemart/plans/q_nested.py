@@ -88,8 +88,11 @@ def write_game_catalogue(spark, sf) -> str:
                .when(F.col("p_partkey") % 3 == 1, F.date_format(day, "MMM yyyy"))
                .otherwise(F.lit("TBA")))
     devs = F.when(F.col("p_partkey") % 10 == 0, F.array().cast("array<string>")).otherwise(F.array("p_brand"))
+    # every 7th app has no price: to_json drops NULL fields, so the key is
+    # absent from its JSON object and must read back as NULL (never a default)
+    price = F.when(F.col("p_partkey") % 7 != 0, F.col("p_retailprice"))
     app = F.struct(F.col("p_name").alias("name"), release.alias("release_date"),
-                   (F.col("p_size") % 18).alias("required_age"), F.col("p_retailprice").alias("price"),
+                   (F.col("p_size") % 18).alias("required_age"), price.alias("price"),
                    devs.alias("developers"), F.split("p_type", " ").alias("genres"))
     files = p.groupBy((F.col("p_partkey") / APPS_PER_FILE).cast("bigint").alias("f")).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("p_partkey").cast("string"), app))).alias("m"))
@@ -104,7 +107,7 @@ SELECT p_partkey AS app_id, p_name AS name,
        WHEN p_partkey % 3 = 1 THEN CAST(date_trunc('month', DATE '2020-01-01' + CAST(p_partkey % 1000 AS INTEGER)) AS DATE)
   END AS release_date,
   CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_brand END AS developer,
-  p_retailprice AS price, CAST(p_size % 18 AS INTEGER) AS required_age
+  CASE WHEN p_partkey % 7 <> 0 THEN p_retailprice END AS price, CAST(p_size % 18 AS INTEGER) AS required_age
 FROM part""")
 def json_object_to_rows(spark, sf):
     """Whole-file object -> rows; first developer or NULL; dates."""

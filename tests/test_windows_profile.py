@@ -60,3 +60,11 @@ def test_exact_quantiles_refinement_rounds(spark):
     got = pf.exact_quantiles_multi(df, ["a", "b"], probs, buckets=8, max_exact=50)
     assert np.allclose(got["a"], np.quantile(a, probs), rtol=0, atol=1e-12)
     assert np.allclose(got["b"], np.quantile(b, probs), rtol=0, atol=1e-12)
+
+
+def test_hierarchy_reachable_cycle_terminates(spark):
+    # "b" appears twice (parent "a" and parent "c"): b -> c -> b is reachable from the root
+    nodes = spark.createDataFrame([("a", None, "A"), ("b", "a", "B"), ("c", "b", "C"), ("b", "c", "B2")],
+                                  "id string, parent_id string, name string")
+    paths = sorted(r.path for r in win.hierarchy(spark, nodes).collect())
+    assert paths == ["A", "A -> B", "A -> B -> C"]

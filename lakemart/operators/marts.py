@@ -146,14 +146,14 @@ def marts() -> dict[str, Mart]:
 
 def simple_counts(df: DataFrame) -> DataFrame:
     """Hour peak, drop-off zone and payment counts as one long table
-    (dimension, value, trips) — three group-bys unioned, one scan each."""
-    parts = [df.groupBy(F.lit(name).alias("dimension"), F.col(c).cast("string").alias("value"))
-             .agg(n().alias("trips")) for name, c in
-             (("hour", "hour"), ("dropoff_zone", "dolocationid"), ("payment", "payment_type"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    (dimension, value, trips).  Each row contributes one (dimension, value)
+    pair per dimension, so ONE scan and ONE partially aggregated shuffle
+    serve all three counts."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("dimension"), F.col(c).cast("string").alias("value"))
+        for name, c in (("hour", "hour"), ("dropoff_zone", "dolocationid"), ("payment", "payment_type"))]))
+    return (df.select(pairs.alias("p")).select("p.*")
+            .groupBy("dimension", "value").agg(n().alias("trips")))
 
 
 def ratio_of_averages(df: DataFrame, keys: list[str], num: str,

@@ -15,7 +15,7 @@ from lakemart.functions import features as fx
 from lakemart.functions import nested as nx
 from lakemart.operators import clean as cl
 from lakemart.plans.registry import query
-from lakemart.session import scratch_path, table
+from lakemart.session import scratch_path, spread, table
 
 CHAT_CHUNK = 64
 CHAT_SCHEMA = ("chats STRUCT<list: ARRAY<STRUCT<id: BIGINT, name: STRING, type: STRING, "
@@ -260,7 +260,8 @@ def _deep_docs(li):
 def json_deep_values(spark, sf):
     """Every ``price`` at any depth of JSON documents ($..price), paths from the schema."""
     path = scratch_path(spark, "deep-json")
-    docs = _deep_docs(table(spark, sf, "lineitem"))
+    # JSON encoding is CPU-heavy row-local work: spread a few-file scan first.
+    docs = _deep_docs(spread(spark, table(spark, sf, "lineitem")))
     docs.write.json(path)
     # Explicit schema: no inference pass over the documents.
     back = spark.read.schema(docs.schema).json(path)
@@ -273,7 +274,7 @@ def json_deep_values_variant(spark, sf):
     walked with VARIANT (``parse_json`` + ``variant_explode`` per level)."""
     li = table(spark, sf, "lineitem")
     path = scratch_path(spark, "deep-json-text")
-    _deep_docs(li).write.json(path)
+    _deep_docs(spread(spark, li)).write.json(path)
     lines = spark.read.text(path)
     v = F.parse_json("value")
     docs = lines.select(F.variant_get(v, "$.l_orderkey", "bigint").alias("l_orderkey"),

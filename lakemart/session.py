@@ -104,6 +104,18 @@ _TABLES: dict[tuple, DataFrame] = {}
 SPREAD_MIN_BYTES = 1 << 20
 
 
+def input_bytes(spark: SparkSession, files: list[str]) -> int:
+    """Total size of a few input files on any Hadoop file system (local, HDFS,
+    object stores), one metadata call per file — only used for few files."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
 def spread(spark: SparkSession, df: DataFrame, total_bytes: int | None = None) -> DataFrame:
     """Give a scan of few, unsplittable inputs (one row group, one gzip file)
     enough tasks for the cores before CPU-heavy row-local work (regex over
@@ -119,8 +131,7 @@ def spread(spark: SparkSession, df: DataFrame, total_bytes: int | None = None) -
     if not files or len(files) >= target:
         return df                      # already as many inputs as cores
     if total_bytes is None:
-        total_bytes = sum(os.path.getsize(f.removeprefix("file:")) for f in files
-                          if os.path.exists(f.removeprefix("file:")))
+        total_bytes = input_bytes(spark, files)
     if total_bytes >= SPREAD_MIN_BYTES:
         return df.repartition(target)
     return df

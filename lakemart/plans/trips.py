@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.operators import lake
+from lakemart.operators.enrich import bounded
 from lakemart.operators.clean import TAXI_BOUNDS, Bound
 from lakemart.plans import standins as st
 
@@ -39,8 +40,11 @@ def raw_trips(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def dims(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
+    # supplier-based vendors grow with the data (Spark's size check decides);
+    # the literal vendor code list is bounded by construction: broadcast it,
+    # or the fact would be shuffled on a two-value key.
     vend = (st.vendors(spark, sf_dir) if kind == "lineitem"
-            else spark.createDataFrame(VENDOR_CODES, "vendorid bigint, vendor_name string"))
+            else bounded(spark.createDataFrame(VENDOR_CODES, "vendorid bigint, vendor_name string")))
     return {
         "vendors": vend,
         "ratecodes": st.code_list(spark, st.RATECODES, "ratecodeid", "ratecode_name"),

@@ -75,6 +75,16 @@ def test_flagship_plan_has_no_cartesian_and_no_python(spark, sf):
     assert rep["codegen_stages"] > 0
 
 
+def test_event_trip_marts_never_shuffle_on_a_code_list_key(spark, sf):
+    """Code-list dimensions (vendor, rate code, payment) are broadcast: the
+    fact is shuffled only for its group-by, never on a few-value join key."""
+    import __spark_entry__ as entry
+    for name in ("mart_hourly", "mart_time_of_day", "trips_eda"):
+        plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan, name
+        assert "hashpartitioning(vendorid" not in plan, name
+
+
 def test_snapshot_time_travel(spark):
     t = cat.SnapshotTable(spark, scratch_path(spark, "snap"))
     t.commit(spark.range(3), "append")

@@ -145,6 +145,8 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
     """
     import uuid
 
+    from lakemart.session import checkpoint_root
+    checkpoint_root(spark)
     ids = ", ".join(f"`{c}`" for c in id_cols)
     frontier = df.select(*id_cols, F.parse_json(json_col).alias("v"))
     found = []

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.session import checkpoint_root
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
 
@@ -144,6 +146,7 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     small = all(stats[f"d_{c}"] <= 0.9 * max_exact for c in cols)
     if not small:
         # reused by every refinement round: cut lineage in shared storage
+        checkpoint_root(df.sparkSession)
         hist = hist.checkpoint(eager=True)
     totals = {c: (stats[f"n_{c}"], stats[f"d_{c}"]) for c in cols}
     inf = float("inf")

@@ -21,10 +21,12 @@ def with_group_average(df: DataFrame, key: str, value: str, out: str) -> DataFra
     """``AVG(value) OVER (PARTITION BY key)`` on every row, skew-safe.
 
     Partial aggregation per key, then a join back: the aggregate has one row
-    per key; AQE broadcasts it from its runtime size (the fact is then not
-    shuffled), else the sort-merge join splits a hot key's partition.
+    per key and is broadcast behind a row-count check (``group_result``), so
+    the fact is not shuffled on the key; past the bound the join stays a
+    sort-merge join whose hot partitions AQE splits.
     """
-    avg = df.groupBy(key).agg(F.avg(value).alias(out))
+    from lakemart.operators.enrich import group_result
+    avg = group_result(df.groupBy(key).agg(F.avg(value).alias(out)))
     return df.join(avg, key, "left")
 
 

@@ -59,8 +59,8 @@ HAVING avg(p_retailprice) > (SELECT avg(p_retailprice) FROM part WHERE p_type =
 def _sql03_categories(spark, sf):
     p = table(spark, sf, "part")
     ref = p.filter(F.col("p_type") == REFERENCE_CATEGORY).agg(F.avg("p_retailprice")).scalar()
-    return (p.groupBy("p_type").agg(F.avg("p_retailprice").alias("avg_price"))
-            .filter(F.col("avg_price") > ref).select("p_type"))
+    return en.group_result(p.groupBy("p_type").agg(F.avg("p_retailprice").alias("avg_price"))
+                           .filter(F.col("avg_price") > ref).select("p_type"))
 
 
 @query("sql03_above_avg_join", sql=f"""

@@ -85,6 +85,21 @@ def test_event_trip_marts_never_shuffle_on_a_code_list_key(spark, sf):
         assert "hashpartitioning(vendorid" not in plan, name
 
 
+def test_group_aggregates_join_back_by_broadcast_even_when_tables_are_large(spark, sf):
+    """With the planner's size-based broadcast off (every table 'large'), a
+    per-group aggregate joined back to its input is still broadcast after its
+    row-count check: no shuffle join on a few-value key (category, segment)."""
+    import __spark_entry__ as entry
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("sql03_above_avg_join", "sql03_above_avg_semi", "sql04_dept_avg", "above_group_avg"):
+            plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_snapshot_time_travel(spark):
     t = cat.SnapshotTable(spark, scratch_path(spark, "snap"))
     t.commit(spark.range(3), "append")

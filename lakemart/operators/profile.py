@@ -88,7 +88,8 @@ def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
 
     (column, value) pairs are counted by aggregation; the top value is the
     most frequent, ties to the smallest value.  Only aggregations and one
-    join on (column, count) — no window over a column's distinct values.
+    broadcast semi join on (column, count) — no window over a column's
+    distinct values, no shuffle on the count.
     """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
@@ -97,9 +98,13 @@ def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("freq"))
     per_col = counts.groupBy("column_name").agg(
         F.sum("freq").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("freq").alias("freq"))
-    top = (counts.join(per_col.select("column_name", "freq"), ["column_name", "freq"], "left_semi")
+    # per_col has exactly one row per requested column (bounded by
+    # construction): broadcast it.  A shuffle on (column, freq) would send
+    # every freq=1 value of a high-cardinality column to one task.
+    top = (counts.join(F.broadcast(per_col.select("column_name", "freq")), ["column_name", "freq"], "left_semi")
            .groupBy("column_name").agg(F.min("value").alias("top")))
-    return per_col.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")
+    return (F.broadcast(per_col).join(top, "column_name")
+            .select("column_name", "count", "unique", "top", "freq"))
 
 
 MAX_EXACT_VALUES = 1_000_000   # distinct values one task may rank exactly

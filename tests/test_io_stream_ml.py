@@ -128,3 +128,20 @@ def test_gbt_classifier_binary_metrics(spark, sf):
     model = ml.build_pipeline(["lang"], ["n_chars", "toxic"], ml.gbt_classifier("label", iters=5, depth=3)).fit(data)
     m = ml.binary_metrics(model.transform(data))
     assert 0.0 <= m["areaUnderROC"] <= 1.0 and 0.0 <= m["areaUnderPR"] <= 1.0
+
+
+def test_group_result_broadcasts_only_under_its_bound(spark):
+    from lakemart.operators.enrich import group_result
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(1000).withColumn("g", F.col("id") % 10)
+        agg = fact.groupBy("g").agg(F.avg("id").alias("a"))
+        small = fact.join(group_result(agg, max_rows=10), "g")
+        large = fact.join(group_result(agg, max_rows=9), "g")
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert small.count() == large.count() == 1000
+        assert sorted(small.collect()) == sorted(large.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -26,6 +26,7 @@ PROFILES: dict[str, dict[str, str]] = {
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "8g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     },
     "cluster": {
         "spark.sql.adaptive.enabled": "true",
@@ -39,6 +40,8 @@ PROFILES: dict[str, dict[str, str]] = {
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.ui.enabled": "false",
+        # checkpointed aggregates/frontiers are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     },
     # ---- fixed values: the reference's tuned single-host profile -------------
     "tuned": {

@@ -109,8 +109,13 @@ def leaderboard(scores: DataFrame, member: str, score: str, k: int, threshold: f
     """I8: top-k members by score plus the count with score >= threshold.
 
     The count is one global ``count_if`` (a single scalar brought back to the
-    driver), the top-k a bounded TakeOrdered; no join between the two.
+    driver), the top-k a bounded TakeOrdered; no join between the two.  The
+    scores (one row per member) are written once to shared storage and read
+    by both, so the fact is scanned and shuffled once.
     """
+    from lakemart.session import checkpoint_root
+    checkpoint_root(scores.sparkSession)
+    scores = scores.checkpoint(eager=True)
     n_over = scores.agg(F.count_if(F.col(score) >= threshold)).first()[0]
     top = (scores.orderBy(F.desc(score), F.asc(member)).limit(k)
            .withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), F.asc(member)))))

@@ -38,8 +38,9 @@ def test_counts_by_brute_force(spark):
 
 
 def test_line_frequency_removes_and_rejects(spark):
-    body = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(12)]
-    banner = " ".join(f"menu{k}" for k in range(200))
+    letter = "abcdefghijklmnopqrst"
+    body = [" ".join(f"w{letter[i]}x{letter[k % 20]}{letter[k // 20]}" for k in range(60)) for i in range(12)]
+    banner = " ".join(f"menu{letter[k % 20]}{letter[k // 20]}" for k in range(200))
     rows = [(i, f"{b}\n{banner.upper()}  {i}", "h", 0, "") for i, b in enumerate(body)]       # mostly banner
     rows += [(100 + i, f"{b}\nsmall   Print", "h", 0, "") for i, b in enumerate(body)]
     rows += [(200 + i, f"{body[0]}\ncopied line", "h", 0, "") for i in range(20)]             # one distinct document

@@ -96,3 +96,44 @@ def unpack(blob: bytes) -> list[bytes]:
     sizes = np.frombuffer(raw, np.int64, n, 8)
     ends = 8 * (n + 1) + np.cumsum(sizes)
     return [raw[int(e - s):int(e)] for s, e in zip(sizes, ends, strict=True)]
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read
+    back: computed once, survives lost executors, removed when the application
+    ends."""
+    import uuid
+
+    from lakemart.session import checkpoint_root
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component) of every node with an edge; component: its smallest node.
+
+    Large-star and small-star rounds: every node links to the smallest node it
+    sees, so paths shorten geometrically and the links end as stars.  Each
+    round is written to shared storage; the driver sees one count per round.
+    """
+    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct()
+    pairs, mark = materialized(pairs, "links"), None
+    while True:
+        now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == mark or now[0] == 0:
+            return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+                pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        mark = now
+        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = (both.join(low, "u").filter("v > u")
+                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .union(low.select("u", F.col("m").alias("v")))).distinct()
+        pairs = materialized(small, "links")

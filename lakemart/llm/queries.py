@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, mixing, quality_rules
+from lakemart.llm import chat, decontamination, mixing, quality_rules, simhash, substring_dedup
 from lakemart.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Basic counts, line frequency by host and the verdict for all documents."""
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query("op2_simhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents."""
+    out = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left by 13-word windows of smaller documents."""
+    out = substring_dedup.remove_repeated_substrings(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op10_benchmark_decontamination", decontamination.ORACLE_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains."""
+    return decontamination.contained_items(read_table(spark, sf_dir, "documents"),
+                                           read_table(spark, sf_dir, "benchmark")).drop("h")

@@ -83,19 +83,19 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def pack(*parts) -> bytes:
-    """Arrays and byte strings in one compressed blob (see ``unpack``)."""
-    raw = [p.tobytes() if isinstance(p, np.ndarray) else bytes(p) for p in parts]
-    head = np.array([len(raw), *map(len, raw)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+def pack(*parts, level: int = 3) -> bytes:
+    """Arrays and byte strings in one blob, each compressed by itself (see ``unpack``)."""
+    squeeze = zstandard.ZstdCompressor(level=level).compress
+    raw = [squeeze(p.tobytes() if isinstance(p, np.ndarray) else p) for p in parts]
+    return np.array([len(raw), *map(len, raw)], np.int64).tobytes() + b"".join(raw)
 
 
 def unpack(blob: bytes) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    sizes = np.frombuffer(raw, np.int64, n, 8)
+    expand = zstandard.ZstdDecompressor().decompress
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    sizes = np.frombuffer(blob, np.int64, n, 8)
     ends = 8 * (n + 1) + np.cumsum(sizes)
-    return [raw[int(e - s):int(e)] for s, e in zip(sizes, ends, strict=True)]
+    return [expand(blob[int(e - s):int(e)]) for s, e in zip(sizes, ends, strict=True)]
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

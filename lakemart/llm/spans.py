@@ -7,9 +7,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.llm.common import utf8
+
 #: Row key of a document: its id and a hash of its text, so that rows repeating
 #: an id with another text are told apart (and equal rows share their spans).
 KEY = "doc_id long, h long"
@@ -44,6 +47,17 @@ def from_blobs(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return merged(np.concatenate([x[0] for x in halves]), np.concatenate([x[1] for x in halves]))
 
 
+def _squeezed(carry: bool):
+    """Texts compressed before they are shuffled to their spans."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = pa.array([squeeze(utf8(t.as_py())) for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts, *batch.columns[3:]],
+                                             names=["doc_id", "h", "text", *(["row"] if carry else [])])
+    return of
+
+
 def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, h, text[, row]): doc_id, n_items,
     n_removed, n_spans, kept_text (binary), kept_sha256[, row].
@@ -51,6 +65,8 @@ def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = Fa
     ``cut(text, starts, ends)`` returns the number of items and the kept bytes.
     ``spans``: rows (doc_id, h, spans) of blobs, any number for a document.
     """
+    docs = docs.mapInArrow(_squeezed(carry), KEY + ", text binary" + (
+        f", row {docs.schema['row'].dataType.simpleString()}" if carry else ""))
     found = spans.groupBy("doc_id", "h").agg(F.collect_set("spans").alias("spans"))
     rows = docs.alias("d").join(found.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
                                 & (F.col("d.h") == F.col("s.h")), "left")
@@ -58,12 +74,13 @@ def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = Fa
     none = np.empty(0, np.int64)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for text, blobs in zip(batch.column(1), batch.column(2), strict=True):
-                body, blobs = text.as_py(), blobs.as_py()
+                body, blobs = expand(text.as_py()), blobs.as_py()
                 starts, ends = from_blobs(blobs) if blobs else (none, none)
-                n, kept = cut((body or "").encode("utf-8"), starts, ends)
+                n, kept = cut(body, starts, ends)
                 out.append((n, int((ends - starts).sum()), len(starts), kept, hashlib.sha256(kept).hexdigest()))
             n, removed, count, kept, sha = zip(*out, strict=True) if out else ((),) * 5
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
@@ -74,7 +91,8 @@ def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = Fa
                 names.append("row")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    row_type = docs.schema["row"].dataType.simpleString() if carry else ""
     schema = "doc_id long, n_items long, n_removed long, n_spans long, kept_text binary, kept_sha256 string"
     if carry:
-        schema += f", row {docs.schema['row'].dataType.simpleString()}"
+        schema += f", row {row_type}"
     return rows.mapInArrow(of, schema)

@@ -1,7 +1,8 @@
 """Operator 5, substring dedup: super-k-mer partitioning of word windows.
 
-The minimiser of a window of 13 words is its smallest 4-word gram under a hash.
-Consecutive windows sharing a minimiser travel as one packed string, with its
+The minimiser of a window of 13 words is its smallest 2-word gram, under an
+order that puts long grams (which are rare) first and hashes within a length
+class.  Consecutive windows sharing a minimiser travel as one packed string, with its
 document and position, to the bucket of that minimiser; equal windows share a
 minimiser, so each bucket counts its windows exactly, by sorting them.
 
@@ -23,13 +24,14 @@ from pyspark.sql import functions as F
 from lakemart.llm import spans
 from lakemart.llm.common import WordHashes, buckets_for, mix64, pack, sliding_min, unpack, utf8
 
-WINDOW, GRAM = 13, 4
+WINDOW, GRAM = 13, 2
+LONG = (4,)                  # mean word lengths that bound the classes of the order
 RUN_WORDS = 1_000_000       # words whose strings are pre-aggregated together
 
 PARCEL = "bucket int, doc_id long, h long, data binary"
 
 
-def _super_kmers(hashes: np.ndarray, ends: np.ndarray, window: int, gram: int):
+def _super_kmers(hashes: np.ndarray, lengths: np.ndarray, ends: np.ndarray, window: int, gram: int):
     """Runs of windows sharing a minimiser, none across documents:
     (minimiser, first word, number of windows, document) arrays."""
     n = len(hashes)
@@ -39,7 +41,9 @@ def _super_kmers(hashes: np.ndarray, ends: np.ndarray, window: int, gram: int):
         grams = np.zeros(n - gram + 1, np.uint64)
         for k in range(gram):
             grams = grams * np.uint64(0x100000001B3) + hashes[k:n - gram + 1 + k]
-        low = sliding_min(mix64(grams), window - gram + 1)
+        total = np.convolve(lengths, np.ones(gram, np.int64), "valid")
+        rank = np.searchsorted(-gram * np.array(LONG), -total).astype(np.uint64)
+        low = sliding_min((rank << np.uint64(62)) | (mix64(grams) >> np.uint64(2)), window - gram + 1)
     doc = np.searchsorted(ends, np.arange(len(low)), side="right")
     valid = np.arange(len(low)) + window <= ends[doc]
     first = np.r_[True, (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])] & valid
@@ -73,7 +77,9 @@ class _Run:
         if not self.ids:
             return
         ends = np.array(self.ends, np.int64)
-        anchor, at, count, doc = _super_kmers(np.concatenate(self.hashes), ends, self.window, self.gram)
+        anchor, at, count, doc = _super_kmers(
+            np.concatenate(self.hashes), np.fromiter(map(len, self.words), np.int64, len(self.words)),
+            ends, self.window, self.gram)
         words, reach = self.words, self.window - 1
         ids = [self.ids[d][0] for d in doc]
         strings: dict[bytes, list[int]] = {}
@@ -101,7 +107,7 @@ class _Run:
             r = rows[part]
             texts = [sent[k][1] for k in part]
             yield int(bucket[part[0]]), None, None, pack(
-                anchor[r], keys[doc[r]].T.copy(), at[r] - begin[doc[r]],
+                (anchor[r] >> np.uint64(16)).astype(np.uint32), keys[doc[r]].T.copy(), at[r] - begin[doc[r]],
                 np.array([len(t) for t in texts], np.int64), b"".join(texts))
 
 
@@ -158,7 +164,7 @@ def _bucket_spans(blobs: list[bytes], window: int) -> dict[tuple[int, int], list
     parts = [unpack(b) for b in blobs]
     if not parts:
         return {}
-    anchor = np.concatenate([np.frombuffer(p[0], np.uint64) for p in parts])
+    anchor = np.concatenate([np.frombuffer(p[0], np.uint32) for p in parts])
     doc, h = np.concatenate([np.frombuffer(p[1], np.int64).reshape(2, -1) for p in parts], axis=1)
     at = np.concatenate([np.frombuffer(p[2], np.int64) for p in parts])
     size = np.concatenate([np.frombuffer(p[3], np.int64) for p in parts])

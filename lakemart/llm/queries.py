@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, decontamination, mixing, quality_rules, simhash, substring_dedup
+from lakemart.llm import chat, decontamination, mixing, quality_classifier, quality_rules, simhash, substring_dedup
 from lakemart.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it contains."""
     return decontamination.contained_items(read_table(spark, sf_dir, "documents"),
                                            read_table(spark, sf_dir, "benchmark")).drop("h")
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learned from ``labels``."""
+    return quality_classifier.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

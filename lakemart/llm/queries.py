@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat, decontamination, mixing, quality_classifier, quality_rules, simhash, substring_dedup
-from lakemart.llm.common import read_table
+from lakemart.llm import (chat, decontamination, lm_scoring, mixing, quality_classifier, quality_rules, simhash,
+                          substring_dedup)
+from lakemart.llm.common import importable, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -16,7 +17,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -71,3 +76,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents, learned from ``labels``."""
     return quality_classifier.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of all documents under bigrams of the training fold."""
+    return lm_scoring.score_texts(read_table(spark, sf_dir, "documents"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import WordHashes, buckets_for, mix64, pack, unpack, utf8
 
-ORDER, PULL = 2, 50.0
+ORDER, PULL = 2, 400.0
 RUN_WORDS = 1_000_000
 START, END = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x5A5A5A5A5A5A5A5A)   # no word's business: see WordHashes
 

@@ -206,7 +206,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tra
     spark = docs.sparkSession
     train = trained_on(doc_id) if train is None else train
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), train.alias("train"), F.col(text).alias("text"))
-    buckets = buckets_for(spark)
+    buckets, chunks = buckets_for(spark, 1), buckets_for(spark)
     n, v = _vocabulary(rows.filter("train").select("text"), buckets)
 
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +216,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tra
                 [*batch.columns[:3], pa.array([squeeze(utf8(t.as_py())) for t in batch.column(3)], pa.binary())],
                 names=["chunk", "doc_id", "train", "text"])
 
-    chunk_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
+    chunk_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
     dealt = rows.select(chunk_of.alias("chunk"), "doc_id", "train", "text").mapInArrow(
         squeezed, "chunk int, doc_id long, train boolean, text binary")
 

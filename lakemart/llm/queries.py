@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import (chat, decontamination, lm_scoring, mixing, quality_classifier, quality_rules, simhash,
-                          substring_dedup)
+                          substring_dedup, suffix_dedup)
 from lakemart.llm.common import importable, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of all documents under bigrams of the training fold."""
     return lm_scoring.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_array_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents left by 200-byte strings found elsewhere."""
+    return suffix_dedup.remove_repeated_bytes(read_table(spark, sf_dir, "documents")).drop("kept_text")

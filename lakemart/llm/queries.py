@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import (chat, decontamination, lm_scoring, mixing, quality_classifier, quality_rules, simhash,
-                          substring_dedup, suffix_dedup)
+from lakemart.llm import (chat, decontamination, html_extraction, lm_scoring, mixing, quality_classifier,
+                          quality_rules, simhash, substring_dedup, suffix_dedup)
 from lakemart.llm.common import importable, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents left by 200-byte strings found elsewhere."""
     return suffix_dedup.remove_repeated_bytes(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op7_html_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extraction.extract_main_text(read_table(spark, sf_dir, "pages"))

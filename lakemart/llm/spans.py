@@ -58,9 +58,10 @@ def _squeezed(carry: bool):
     return of
 
 
-def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = False) -> DataFrame:
+def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = False,
+              carry_text: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, h, text[, row]): doc_id, n_items,
-    n_removed, n_spans, kept_text (binary), kept_sha256[, row].
+    n_removed, n_spans, kept_text (binary), kept_sha256[, row][, text].
 
     ``cut(text, starts, ends)`` returns the number of items and the kept bytes.
     ``spans``: rows (doc_id, h, spans) of blobs, any number for a document.
@@ -89,10 +90,15 @@ def cut_spans(docs: DataFrame, spans: DataFrame, cut: Callable, carry: bool = Fa
             if carry:
                 columns.append(batch.column(3))
                 names.append("row")
+            if carry_text:
+                columns.append(pa.array([expand(t.as_py()) for t in batch.column(1)], pa.binary()).cast(pa.string()))
+                names.append("text")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     row_type = docs.schema["row"].dataType.simpleString() if carry else ""
     schema = "doc_id long, n_items long, n_removed long, n_spans long, kept_text binary, kept_sha256 string"
     if carry:
         schema += f", row {row_type}"
+    if carry_text:
+        schema += ", text string"
     return rows.mapInArrow(of, schema)

@@ -220,9 +220,11 @@ def _cut_words(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int,
 
 
 def remove_repeated_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
-                               gram: int = GRAM, run_words: int = RUN_WORDS, carry: bool = False) -> DataFrame:
+                               gram: int = GRAM, run_words: int = RUN_WORDS, carry: bool = False,
+                               carry_text: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, n_spans, kept_text,
-    kept_sha256 (and, with ``carry``, the input row as ``row``).
+    kept_sha256 (with ``carry`` also the input's other columns as ``row``, with
+    ``carry_text`` its text, null as empty).
 
     A word goes if a window of ``window`` words covering it also starts in a
     document with a smaller doc_id; windows are judged on the input.  Kept words
@@ -236,5 +238,5 @@ def remove_repeated_substrings(docs: DataFrame, doc_id: str = "doc_id", text: st
         keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), spans.text_hash(text).alias("h"),
                             F.col(text).alias("text"), F.struct(
                                 *[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"))
-    out = spans.cut_spans(keyed, found, _cut_words, carry)
+    out = spans.cut_spans(keyed, found, _cut_words, carry, carry_text)
     return out.withColumnRenamed("n_items", "n_words").withColumn("kept_text", F.col("kept_text").cast("string"))

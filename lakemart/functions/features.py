@@ -107,8 +107,14 @@ def bucket(value: str | Column, bounds) -> Column:
 
 
 def typed_coalesce(c: str | Column, dtype: str, default=0) -> Column:
-    """ANSI-safe cast with a default for NULL or unparsable values."""
-    return F.coalesce(_c(c).try_cast(dtype), F.lit(default).cast(dtype))
+    """ANSI-safe cast with a default for NULL or unparsable values.
+
+    Integers also accept decimal text (``'1.0'`` is 1, as a number cast is).
+    """
+    tries = [_c(c).try_cast(dtype)]
+    if dtype.lower() in ("byte", "tinyint", "short", "smallint", "int", "integer", "long", "bigint"):
+        tries.append(_c(c).cast("string").try_cast("double").try_cast(dtype))
+    return F.coalesce(*tries, F.lit(default).cast(dtype))
 
 
 def parse_multi_date(s: str | Column) -> Column:

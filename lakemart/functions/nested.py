@@ -109,8 +109,8 @@ def deep_values(df: DataFrame, key: str, id_cols: list[str]) -> DataFrame:
     and exploded (row-local, no shuffle).
     """
     paths = paths_ending_in(df.schema, key)
-    arrays = [_values_at(p).cast("array<double>") for p, _ in paths]
-    allv = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    none = F.array().cast("array<double>")      # a document without a path keeps its other values
+    allv = F.concat(none, *[F.coalesce(_values_at(p).cast("array<double>"), none) for p, _ in paths])
     return df.select(*id_cols, F.explode(F.filter(allv, lambda x: x.isNotNull())).alias(key))
 
 
@@ -130,17 +130,15 @@ def matrix_add(a: DataFrame, b: DataFrame) -> DataFrame:
     return cells.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
-def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str, key: str,
-                        max_depth: int = 64) -> DataFrame:
+def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str, key: str) -> DataFrame:
     """J6 over JSON of *any* shape: ``$..key`` with the VARIANT type.
 
     Documents are parsed once (``parse_json``) and walked one level per round
     with the ``variant_explode`` table function: scalar values whose key
     matches are kept, objects and arrays go to the next round.  Each round's
     frontier is checkpointed to shared storage, so lineage stays one level
-    deep and a lost executor recomputes one round.  Rounds are bounded by the
-    documents' nesting depth; input nested deeper than ``max_depth`` raises
-    rather than losing values.  All the work is distributed — nothing is
+    deep and a lost executor recomputes one round.  Rounds end with the
+    documents' nesting depth.  All the work is distributed — nothing is
     collected.
     """
     import uuid
@@ -150,7 +148,7 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
     ids = ", ".join(f"`{c}`" for c in id_cols)
     frontier = df.select(*id_cols, F.parse_json(json_col).alias("v"))
     found = []
-    for _ in range(max_depth):
+    while True:
         view = f"lakemart_variant_{uuid.uuid4().hex[:12]}"
         frontier.createOrReplaceTempView(view)
         level = spark.sql(f"SELECT {ids}, e.key AS k, e.value AS v "
@@ -162,8 +160,6 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
         frontier = level.filter(container).select(*id_cols, "v").checkpoint(eager=True)
         if frontier.isEmpty():
             break
-    else:
-        raise ValueError(f"documents nest deeper than max_depth={max_depth}")
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)

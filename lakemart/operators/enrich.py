@@ -10,8 +10,6 @@ Broadcast policy — a side is broadcast only behind a size check:
   shuffle statistics at runtime; beyond the threshold the join stays a
   sort-merge join whose skewed partitions AQE splits.  This costs no extra
   job and never computes an aggregate twice.
-* ``broadcast_if_small`` exists for the rare side whose estimate is known to
-  be wrong; it costs one bounded job (``limit(n + 1).count()``).
 """
 
 from __future__ import annotations
@@ -19,32 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension broadcast to every executor must stay far below executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` when it has at most ``max_rows`` rows, else leave it."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def group_result(agg: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A per-group aggregate about to be joined back to its own (large) input,
-    broadcast behind a proven bound.
-
-    Its key usually has few values (a category, a department, a nation); a
-    shuffle join on it would send the whole input through a few tasks.  The
-    aggregate is written once to shared storage (``checkpoint``), its rows are
-    counted (reading at most ``max_rows + 1``), and it is broadcast only when
-    the count proves it small; otherwise the join stays a shuffle join whose
-    hot partitions AQE splits.  Computed once, never rescanning the input.
-    """
-    from lakemart.session import checkpoint_root
-    checkpoint_root(agg.sparkSession)
-    snap = agg.checkpoint(eager=True)
-    return F.broadcast(snap) if snap.limit(max_rows + 1).count() <= max_rows else snap
-
 
 def bounded(dim: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is bounded by construction (code lists)."""
@@ -96,17 +68,16 @@ def above_group_average(df: DataFrame, fine_keys: list[str], coarse_keys: list[s
     """F8j: fine-grained average joined to the coarser average, then a theta filter.
 
     The coarse average is rolled up from the fine groups' sums and counts (no
-    second scan of the fact).  The coarse side is broadcast behind a row-count
-    check (``group_result``), so the fine groups are not shuffled on the
-    coarse key.
+    second scan of the fact); NULL values count in ``n`` alone.  The join is
+    left to Spark's own size check.
     """
     fine = df.groupBy(*fine_keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(value).alias("_s"), F.avg(value).alias("avg_value"),
+        F.count(F.lit(1)).alias("n"), F.sum(value).alias("_s"), F.count(value).alias("_c"), F.avg(value).alias("avg_value"),
         F.max(value).alias("max_value"))
-    coarse = group_result(fine.groupBy(*coarse_keys).agg((F.sum("_s") / F.sum("n")).alias("group_avg")))
+    coarse = fine.groupBy(*coarse_keys).agg(F.try_divide(F.sum("_s"), F.sum("_c")).alias("group_avg"))
     return (fine.join(coarse, coarse_keys, "inner")
             .filter(F.col("avg_value") > F.col("group_avg"))
-            .drop("_s"))
+            .drop("_s", "_c"))
 
 
 def anti(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:

@@ -263,6 +263,9 @@ def iqr_bounds(spark: SparkSession, df: DataFrame, cols: list[str], clamp_zero:
     q = exact_quantiles_multi(df, cols, [0.25, 0.75])
     for c in cols:
         q1, q3 = q[c]
+        if q1 is None or q3 is None:        # no value at all
+            rows.append((c, None, None, None, None, None))
+            continue
         iqr = q3 - q1
         low = q1 - 1.5 * iqr
         if c in clamp_zero:
@@ -278,7 +281,7 @@ def iqr_outliers(df: DataFrame, bounds: DataFrame) -> DataFrame:
     ``bounds`` has one row per column (O(columns)), so its values are brought
     to the driver and inlined as literals — no join with the fact.
     """
-    b = {r.column_name: (r.lower_bound, r.upper_bound) for r in bounds.collect()}
+    b = {r.column_name: (F.lit(r.lower_bound), F.lit(r.upper_bound)) for r in bounds.collect()}
     cols = list(b)
     wide = df.agg(*[F.count_if((F.col(c) < b[c][0]) | (F.col(c) > b[c][1])).alias(c) for c in cols])
     return _long(wide, cols, "n_outliers")

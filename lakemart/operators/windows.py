@@ -9,8 +9,6 @@ Windows are used only over already-aggregated, bounded series.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +18,13 @@ from lakemart.functions import features as fx
 def with_group_average(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """``AVG(value) OVER (PARTITION BY key)`` on every row, skew-safe.
 
-    Partial aggregation per key, then a join back: the aggregate has one row
-    per key and is broadcast behind a row-count check (``group_result``), so
-    the fact is not shuffled on the key; past the bound the join stays a
+    Partial aggregation per key, then a null-safe join back (rows without a key
+    are a group, as in the window).  The aggregate has one row per key; Spark
+    broadcasts it under its own size threshold, beyond it the join is a
     sort-merge join whose hot partitions AQE splits.
     """
-    from lakemart.operators.enrich import group_result
-    avg = group_result(df.groupBy(key).agg(F.avg(value).alias(out)))
-    return df.join(avg, key, "left")
+    avg = df.groupBy(F.col(key).alias("_group")).agg(F.avg(value).alias(out))
+    return df.join(avg, df[key].eqNullSafe(avg["_group"]), "left").drop("_group")
 
 
 def lag_growth(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -78,26 +75,29 @@ def top_k(df: DataFrame, k: int, *order) -> DataFrame:
 def hierarchy(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     """I12/I13/F14j: walk ``(id, parent_id, name)`` from the roots.
 
-    Spark's recursive CTE (a UNION ALL of the anchor and one join per level)
-    computes level and the " -> " path.  An id array stops cycles exactly, so
-    the walk always ends; no depth cap truncates results — a hierarchy deeper
-    than ``spark.sql.cteRecursionLevelLimit`` fails loudly instead (raise the
-    limit for such data).  Orphans (parent not found) are unreachable from a
-    root and therefore dropped, as in the original.
+    One join per level, each level written to the checkpoint folder; the walk
+    ends at the first empty level, without a limit on rows or depth.  An id
+    array stops cycles exactly.  Orphans (parent not found) are unreachable
+    from a root and therefore dropped, as in the original.
     """
-    view = f"lakemart_nodes_{uuid.uuid4().hex[:12]}"
-    nodes.createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE tree (id, parent_id, name, level, path, seen) AS (
-          SELECT id, parent_id, name, 1, CAST(name AS STRING), array(id)
-          FROM {view} WHERE parent_id IS NULL
-          UNION ALL
-          SELECT n.id, n.parent_id, n.name, t.level + 1, concat(t.path, ' -> ', n.name),
-                 concat(t.seen, array(n.id))
-          FROM {view} n JOIN tree t ON n.parent_id = t.id
-          WHERE NOT array_contains(t.seen, n.id)
-        )
-        SELECT id, parent_id, name, level, path FROM tree""")
+    from lakemart.session import checkpoint_root
+    checkpoint_root(spark)
+    nodes = nodes.select("id", "parent_id", "name")
+    level = nodes.filter(F.col("parent_id").isNull()).select(
+        "*", F.lit(1).alias("level"), F.col("name").cast("string").alias("path"), F.array("id").alias("seen"))
+    found = None
+    while True:
+        level = level.checkpoint(eager=True)
+        if found is not None and level.isEmpty():
+            return found
+        here = level.select("id", "parent_id", "name", "level", "path")
+        found = here if found is None else found.union(here)
+        up = level.select(F.col("id").alias("_up"), F.col("level").alias("_level"), F.col("path").alias("_path"), "seen")
+        level = (nodes.join(up, F.col("parent_id") == F.col("_up"))
+                 .filter(~F.array_contains("seen", F.col("id")))
+                 .select("id", "parent_id", "name", (F.col("_level") + 1).alias("level"),
+                         F.concat("_path", F.lit(" -> "), "name").alias("path"),
+                         F.concat("seen", F.array("id")).alias("seen")))
 
 
 def set_intersect(a: DataFrame, b: DataFrame) -> DataFrame:

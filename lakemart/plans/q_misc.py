@@ -16,7 +16,7 @@ from lakemart.functions import features as fx
 from lakemart.operators import clean as cl
 from lakemart.plans import trips as tp
 from lakemart.plans.registry import query
-from lakemart.session import spread, table
+from lakemart.session import table
 
 # ---------------------------------------------------------------- flights ----
 
@@ -224,7 +224,7 @@ SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens,
 FROM t""")
 def sentiment_lexicon(spark, sf):
     """Lexicon sentiment of every whole document."""
-    d = spread(spark, table(spark, sf, "documents").select("doc_id", "text"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
     n_tok, score = score_text(F.col("text"))
     return d.select("doc_id", n_tok.alias("n_tokens"), score.alias("score"))
 

@@ -15,28 +15,12 @@ VENDOR_CODES = [(1, "Creative Mobile Technologies"), (2, "VeriFone Inc.")]
 KINDS = ("lineitem", "events")
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _memo(spark: SparkSession, sf_dir: str, kind: str, layer: str, build) -> DataFrame:
-    """Define each layer's (lazy) plan once per session: every mart derives
-    from the same silver DataFrame, as a job chain would; data is still read
-    and computed by every action."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind, layer)
-    df = _PLANS.get(key)
-    if df is None:
-        df = _PLANS[key] = build()
-    return df
-
-
 def bounds_for(kind: str) -> dict[str, Bound]:
     return st.LINEITEM_BOUNDS if kind == "lineitem" else TAXI_BOUNDS
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    build = (lambda: st.lineitem_trips(spark, sf_dir)) if kind == "lineitem" else \
-        (lambda: st.event_trips(spark, sf_dir))
-    return _memo(spark, sf_dir, kind, "raw", build)
+    return (st.lineitem_trips if kind == "lineitem" else st.event_trips)(spark, sf_dir)
 
 
 def dims(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
@@ -54,13 +38,11 @@ def dims(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
 
 
 def clean(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return _memo(spark, sf_dir, kind, "clean",
-                 lambda: lake.clean_trips(raw_trips(spark, sf_dir, kind), bounds_for(kind)))
+    return lake.clean_trips(raw_trips(spark, sf_dir, kind), bounds_for(kind))
 
 
 def eda(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return _memo(spark, sf_dir, kind, "eda",
-                 lambda: lake.eda(raw_trips(spark, sf_dir, kind), bounds_for(kind), **dims(spark, sf_dir, kind)))
+    return lake.eda(raw_trips(spark, sf_dir, kind), bounds_for(kind), **dims(spark, sf_dir, kind))
 
 
 # ---------------------------------------------------------------------------

@@ -88,6 +88,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -103,52 +105,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/lakemart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def input_bytes(spark: SparkSession, files: list[str]) -> int:
-    """Total size of a few input files on any Hadoop file system (local, HDFS,
-    object stores), one metadata call per file — only used for few files."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
-
-
-def spread(spark: SparkSession, df: DataFrame, total_bytes: int | None = None) -> DataFrame:
-    """Give a scan of few, unsplittable inputs (one row group, one gzip file)
-    enough tasks for the cores before CPU-heavy row-local work (regex over
-    whole texts, JSON parsing): a round-robin repartition when the scan has
-    fewer input files than the default parallelism and holds at least 1 MB.
-
-    Large tables on a cluster span thousands of files and are left alone (no
-    extra shuffle).  Column pruning and filter pushdown pass through the
-    repartition, so the scan still reads only what the query needs.
-    """
-    target = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= target:
-        return df                      # already as many inputs as cores
-    if total_bytes is None:
-        total_bytes = input_bytes(spark, files)
-    if total_bytes >= SPREAD_MIN_BYTES:
-        return df.repartition(target)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one testdata-style parquet table ``{sf_dir}/{name}.parquet``.
-
-    The (lazy) DataFrame handle is reused within a session, so footers and
-    the file listing are resolved once; every action still scans the files.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path) if os.path.exists(path) else None)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """Read one testdata-style parquet table ``{sf_dir}/{name}.parquet``, listed anew."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

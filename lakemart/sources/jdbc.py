@@ -79,7 +79,7 @@ def read_jdbc(spark: SparkSession, source: str, conn: dict[str, str], predicates
     """One entry point for tables, queries, range or predicate partitions."""
     if predicates:
         props = {k: v for k, v in conn.items() if k != "url"}
-        table = f"({source}) AS q" if is_query(source) else source
+        table = f"({source.strip().rstrip(';')}) AS q" if is_query(source) else source
         return spark.read.jdbc(conn["url"], table, predicates=predicates, properties=props)
     return spark.read.format("jdbc").options(**read_options(source, conn, **kwargs)).load()
 

@@ -53,8 +53,8 @@ def decode(kafka: DataFrame, schema: str = EVENT_SCHEMA) -> DataFrame:
     return data.select(
         "key", "offset",
         F.col("data.id").alias("id"),
-        F.to_date("data.date").alias("date"),
-        F.to_timestamp_ntz("data.event_date").alias("event_date"),
+        F.col("data.date").try_cast("date").alias("date"),
+        F.col("data.event_date").try_cast("timestamp_ntz").alias("event_date"),
         F.coalesce("data.event_id", "data.event").alias("event_id"),
         F.col("data.username").alias("username"),
         F.coalesce("data.group_id", "data.group").alias("group_id"),

@@ -102,34 +102,46 @@ def weak_label(block: Block) -> bool:
     return bool(_MAIN & set(block.path)) and not _OTHER & set(block.path)
 
 
-def _signs(word: str, dim: int) -> np.ndarray:
-    bits = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), dim)
-    return ((bits >> np.arange(dim, dtype=np.uint64).astype(object)) & 1).astype(np.float64) * 2 - 1
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 7)
 
 
-class Vectors(dict):
-    """Word -> hashed sign vector, memoised; emptied when it grows too far."""
+class PathVectors(dict):
+    """Path -> sum of its names' hashed sign vectors, memoised; emptied when it grows too far."""
 
-    def __init__(self, dim: int):
-        super().__init__()
-        self.dim = dim
+    def __missing__(self, path: tuple[str, ...]) -> np.ndarray:
+        if len(self) > 50_000:
+            self.clear()
+        out = np.zeros(PATH_DIM)
+        for name in path:
+            out += 2.0 * np.array([_hash(name) >> k & 1 for k in range(PATH_DIM)]) - 1
+        at = self[path] = out / max(1, len(path)) ** 0.5
+        return at
+
+
+class WordSigns(dict):
+    """Word -> WORD_DIM hashed signs as the bits of a number, memoised likewise."""
 
-    def __missing__(self, word: str) -> np.ndarray:
-        if len(self) > 100_000:
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
             self.clear()
-        at = self[word] = _signs(word, self.dim)
+        at = self[word] = _hash(word) >> 40 & 0xFFFF
         return at
 
 
-def features(blocks: list[Block], paths: Vectors, words: Vectors) -> np.ndarray:
+def features(blocks: list[Block], paths: PathVectors, words: WordSigns) -> np.ndarray:
     x = np.zeros((len(blocks), PATH_DIM + WORD_DIM + COUNTS))
-    for i, b in enumerate(blocks):
-        if b.path:
-            x[i, :PATH_DIM] = sum(paths[p] for p in b.path) / len(b.path) ** 0.5
-        tokens = b.text.lower().split()
-        x[i, PATH_DIM:PATH_DIM + WORD_DIM] = sum(words[w] for w in tokens) / len(tokens)
-        x[i, PATH_DIM + WORD_DIM:] = (np.log1p(len(tokens)) / 3, min(1.0, b.linked / len(b.text)),
-                                      i / len(blocks), 1.0, b.text[-1] in ".!?")
+    if not blocks:
+        return x
+    tokens = [b.text.lower().split() for b in blocks]
+    sizes = np.array([len(t) for t in tokens])
+    signs = np.fromiter((words[w] for t in tokens for w in t), np.uint16, sizes.sum())
+    bits = np.unpackbits(signs.view(np.uint8).reshape(-1, 2), axis=1)
+    ones = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int64)
+    x[:, :PATH_DIM] = [paths[b.path] for b in blocks]
+    x[:, PATH_DIM:PATH_DIM + WORD_DIM] = 2 * ones / sizes[:, None] - 1
+    x[:, PATH_DIM + WORD_DIM:] = [(np.log1p(n) / 3, min(1.0, b.linked / len(b.text)), i / len(blocks), 1.0, b.text[-1] in ".!?")
+                                  for i, (b, n) in enumerate(zip(blocks, sizes.tolist(), strict=True))]
     return x
 
 
@@ -276,7 +288,7 @@ def fit(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE_PAGES)
     if not parsed:
         return model
     texts = [b.text for blocks in parsed for b in blocks]
-    paths, words = Vectors(PATH_DIM), Vectors(WORD_DIM)
+    paths, words = PathVectors(), WordSigns()
     training = []
     for blocks in parsed:
         labels = [weak_label(b) for b in blocks]
@@ -300,7 +312,7 @@ def extract_main_text(pages: DataFrame, html_column: str = "html", keep: tuple =
     rows = pages.select(F.struct(*keep).alias("_keep"), F.col(html_column).alias("_html"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths, words = Vectors(PATH_DIM), Vectors(WORD_DIM)
+        paths, words = PathVectors(), WordSigns()
         for batch in batches:
             texts = []
             for at in range(0, batch.num_rows, 256):

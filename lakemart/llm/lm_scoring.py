@@ -33,6 +33,7 @@ from lakemart.llm.common import WordHashes, buckets_for, mix64, pack, unpack, ut
 
 ORDER, PULL = 2, 400.0
 RUN_WORDS = 1_000_000
+NO_ARC = 1.0                # no log-probability
 START, END = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x5A5A5A5A5A5A5A5A)   # no word's business: see WordHashes
 
 
@@ -62,18 +63,20 @@ class Chunk:
         self.starts = np.cumsum(self.sizes) - self.sizes
         place = np.arange(len(tokens)) - np.repeat(self.starts, self.sizes)
         weight = np.repeat(train.astype(np.int64), self.sizes)
-        self.grams, self.at, self.first, self.own = [], [], [], []
+        self.grams, self.at, self.last, self.own = [], [], [], []
         rolling = np.zeros(len(tokens), np.uint64)
         for k in range(1, order + 1):
             with np.errstate(over="ignore"):        # hash of the k tokens that end here
                 rolling = tokens if k == 1 else np.r_[np.uint64(0), rolling[:-1]] * np.uint64(0x9E3779B97F4A7C15) + tokens
                 hashed = mix64(rolling + np.uint64(k))
             ends = np.flatnonzero(place >= k - 1)
-            grams, first, inverse = np.unique(hashed[ends], return_index=True, return_inverse=True)
+            grams, inverse = np.unique(hashed[ends], return_inverse=True)
             at = np.full(len(tokens), -1, np.int64)
             at[ends] = inverse
+            last = np.empty(len(grams), np.int64)       # where each gram ends for the last time
+            last[inverse] = ends
             self.grams.append(grams)
-            self.first.append(ends[first])
+            self.last.append(last)
             self.at.append(at)
             self.own.append(np.bincount(inverse, weight[ends], len(grams)).astype(np.int64))
 
@@ -100,57 +103,49 @@ class Chunk:
 
 
 class Automaton:
-    """States, arcs and failure arcs of a chunk's n-grams."""
+    """States, arcs and failure arcs of a chunk's n-grams.
+
+    A state is a seen n-gram shorter than the order; the root is the empty one.
+    The arc by which it reads a word is the gram one word longer: the chunk
+    knows that gram at each position, so arcs are found by index.  A seen gram's
+    suffixes are seen, so a failure arc leads to the state one word shorter.
+    """
 
     def __init__(self, chunk: Chunk, counts: list[np.ndarray], n: int, v: int, pull: float):
-        order = len(counts)
-        self.width = len(counts[0])
+        self.at, self.live = chunk.at, counts[0] > 0
         p = (counts[0] + 1) / (n + v + 1)
         self.base = np.log10(p)
-        root = 0
-        offset = np.cumsum([1, *[len(c) for c in counts]])
-        state = [np.where(c > 0, offset[k] + np.arange(len(c)), root) for k, c in enumerate(counts[:-1])]
-        self.word_state = state[0] if state else np.zeros(self.width, np.int64)
-        self.fail = np.zeros(offset[-1], np.int64)          # where a state's failure arc leads
-        self.loss = np.zeros(offset[-1])                    # and its weight
-        self.arcs: dict[int, tuple[float, int]] = {}
-        for k in range(1, order):
+        self.arcs, self.loss = [self.base], []      # the root reads any word
+        for k in range(1, len(counts)):
             seen = np.flatnonzero(counts[k] > 0)
-            at = chunk.first[k][seen]
-            prefix, suffix, word = chunk.at[k - 1][at - 1], chunk.at[k - 1][at], chunk.at[0][at]
-            context = counts[k - 1][prefix]
+            at = chunk.last[k][seen]
+            prefix, suffix = chunk.at[k - 1][at - 1], chunk.at[k - 1][at]
             lower = np.zeros(len(counts[k]))
-            lower[seen] = (counts[k][seen] + pull * p[suffix]) / (context + pull)
-            # an arc leads to the longest state that its gram ends with
-            to = state[k][seen] if k < order - 1 else state[k - 1][suffix]
-            source = offset[k - 1] + prefix
-            self.arcs.update(zip((source * self.width + word).tolist(),
-                                 zip(np.log10(lower[seen]).tolist(), to.tolist(), strict=True), strict=True))
+            lower[seen] = (counts[k][seen] + pull * p[suffix]) / (counts[k - 1][prefix] + pull)
+            arcs = np.full(len(counts[k]), NO_ARC)
+            arcs[seen] = np.log10(lower[seen])
+            self.arcs.append(arcs)
+            self.loss.append(np.log10(pull / (counts[k - 1] + pull)))
             p = lower
-        for k in range(order - 1):
-            live = np.flatnonzero(counts[k] > 0)
-            self.loss[offset[k] + live] = np.log10(pull / (counts[k][live] + pull))
-            if k:
-                self.fail[offset[k] + live] = state[k - 1][chunk.at[k - 1][chunk.first[k][live]]]
-        self.fail, self.loss, self.uni = self.fail.tolist(), self.loss.tolist(), self.base.tolist()
-        self.next = self.word_state.tolist()
-
-    def score(self, start: int, words: list[int]) -> float:
-        """Log10 probability of the tokens after ``start``: one traversal."""
-        arcs, width, fail, loss, uni, after = self.arcs, self.width, self.fail, self.loss, self.uni, self.next
-        state, total = after[start], 0.0
-        for word in words:
-            arc = arcs.get(state * width + word)
-            while arc is None and state:
-                total += loss[state]
-                state = fail[state]
-                arc = arcs.get(state * width + word)
-            if arc is None:
-                total += uni[word]
-                state = after[word]
-            else:
-                total += arc[0]
-                state = arc[1]
+
+    def score(self, start: int, size: int) -> float:
+        """Log10 probability of the tokens after ``start``: one traversal, which
+        carries the length of its state (the gram of so many tokens before)."""
+        words = slice(start + 1, start + size)
+        arcs = [w[at[words]].tolist() for w, at in zip(self.arcs, self.at, strict=True)]
+        loss = [[], *[w[at[start:start + size - 1]].tolist() for w, at in zip(self.loss, self.at)]]
+        live = self.live[self.at[0][start:start + size]].tolist()
+        top = len(arcs) - 1
+        longer = [min(k + 1, top) for k in range(top + 1)]
+        state, total = longer[0] if live[0] else 0, 0.0
+        for i, known in enumerate(live[1:]):
+            weight = arcs[state][i]
+            while weight > 0:
+                total += loss[state][i]
+                state -= 1
+                weight = arcs[state][i]
+            total += weight
+            state = longer[state] if known else 0
         return total
 
 
@@ -251,7 +246,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tra
         for a, size in zip(chunk.starts.tolist(), chunk.sizes.tolist(), strict=True):
             ids = word[a + 1:a + size]
             out.append((size - 1, int((counts[0][ids] > 0).sum()), n, float(automaton.base[ids].sum()),
-                        automaton.score(int(word[a]), ids.tolist())))
+                        automaton.score(a, size)))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         held = [not t for t in table.column("train").to_pylist()]
         return pa.table([table.column("doc_id"), pa.array(held, pa.bool_()),

@@ -255,36 +255,50 @@ def append_manifest(spark: SparkSession, manifest_path: str, counts: DataFrame,
     return run_id
 
 
+def _normalize(spark: SparkSession, paths: list[str], silver_root: str) -> None:
+    raw = spark.read.option("mergeSchema", "true").parquet(*paths)
+    raw = raw.withColumn("__slice", slice_key(F.col("_metadata.file_path")))
+    write_slices(standardize(raw, expected=TRIP_COLUMNS + ["__slice"], add_missing=True)
+                 .withColumnRenamed("__slice", "slice"), silver_root)
+
+
 def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: str,
                           manifest_path: str, full: bool = False,
                           on_error: str = "raise") -> DataFrame:
-    """Standardise every pending slice in one job.
+    """Standardise every pending slice, all in one job where their
+    schemas merge, else slice by slice (a column's type may drift between months).
 
     Returns a status DataFrame (slice, rows, status).  ``full=True`` reprocesses
-    every candidate (C8).  ``on_error="skip"`` returns an ``error`` status
-    instead of raising (C10); ``"raise"`` fails fast (C7).
+    every candidate (C8).  ``on_error="skip"`` gives a slice that can't be read an
+    ``error`` status and goes on with the others (C10); ``"raise"`` fails fast (C7).
     """
     candidates = list_candidates(spark, bronze_root)
     done = spark.createDataFrame([], MANIFEST_SCHEMA) if full else read_manifest(spark, manifest_path)
-    pending = pending_slices(candidates, done)
     # The list of pending paths is O(number of files), not O(rows).
-    paths = [r.path for r in candidates.join(pending, "slice", "left_semi").select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "slice string, rows bigint, status string")
+    files: dict[str, list[str]] = {}
+    for r in candidates.join(pending_slices(candidates, done), "slice", "left_semi").collect():
+        files.setdefault(r.slice, []).append(r.path)
+    status = "slice string, rows bigint, status string"
+    if not files:
+        return spark.createDataFrame([], status)
+    failed: dict[str, str] = {}
     try:
-        raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-        raw = raw.withColumn("__slice", slice_key(F.col("_metadata.file_path")))
-        std = (standardize(raw, expected=TRIP_COLUMNS + ["__slice"], add_missing=True)
-               .withColumnRenamed("__slice", "slice"))
-        write_slices(std, silver_root)
-        written = spark.read.parquet(silver_root).join(pending, "slice", "left_semi")
-        counts = written.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
-        run_id = append_manifest(spark, manifest_path, counts)
-        # The manifest is append-only, so this read stays the same later on.
-        return (spark.read.parquet(manifest_path).filter(F.col("run_id") == run_id)
-                .select("slice", "rows", "status"))
-    except Exception as exc:
-        if on_error == "raise":
-            raise
-        return pending.select("slice", F.lit(None).cast("bigint").alias("rows"),
-                              F.lit(f"error: {type(exc).__name__}").alias("status"))
+        _normalize(spark, [p for paths in files.values() for p in paths], silver_root)
+    except Exception:
+        for name, paths in sorted(files.items()):
+            try:
+                _normalize(spark, paths, silver_root)
+            except Exception as exc:
+                if on_error == "raise":
+                    raise
+                failed[name] = f"error: {type(exc).__name__}"
+    errors = spark.createDataFrame([(s, None, e) for s, e in failed.items()], status)
+    good = [s for s in files if s not in failed]
+    if not good:
+        return errors
+    counts = (spark.read.parquet(silver_root).filter(F.col("slice").cast("string").isin(good))
+              .groupBy("slice").agg(F.count(F.lit(1)).alias("rows")))
+    run_id = append_manifest(spark, manifest_path, counts)
+    # The manifest is append-only, so this read stays the same later on.
+    return (spark.read.parquet(manifest_path).filter(F.col("run_id") == run_id)
+            .select("slice", "rows", "status").unionByName(errors))

@@ -178,7 +178,7 @@ def model_metrics(spark, sf):
     data = labeled(spark, sf).drop("prediction").withColumn("label", F.col("label").cast("double"))
     train, test = ml.random_split(data, 0.7, 42)
     model = ml.build_pipeline(["lang", "source"], ["n_chars", "toxic"],
-                              ml.rf_classifier("label", trees=20, depth=5)).fit(train)
+                              ml.rf_classifier("label")).fit(train)
     pred = model.transform(test)
     metrics = {**ml.binary_metrics(pred), **ml.multiclass_metrics(pred)}
     return ml.metric_table(spark, "random_forest", metrics)

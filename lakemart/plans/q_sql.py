@@ -193,14 +193,13 @@ def sql08(spark, sf):
 @query("sql09_last_order", sql="""
 SELECT DISTINCT ON (u.c_custkey) u.c_custkey AS user_id, u.c_name AS username,
        o.o_orderkey AS order_id, o.o_orderdate AS order_date
-FROM customer u LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON u.c_custkey = o.o_custkey
+FROM customer u LEFT JOIN orders o ON u.c_custkey = o.o_custkey
 ORDER BY u.c_custkey, o.o_orderkey DESC""")
 def sql09(spark, sf):
     """I3/I4/F7j: last order (highest id) per user, users without orders kept."""
     u = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("username"))
-    o = (table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P")
-         .select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"),
-                 F.col("o_orderdate").alias("order_date")))
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"),
+                                          F.col("o_orderdate").alias("order_date"))
     return win.latest_per_key(u, o, "user_id", "order_id", ["order_date"])
 
 

@@ -87,8 +87,8 @@ def idempotent_sink(target_root: str):
 
 
 def jdbc_batch_sink(url: str, table: str, properties: dict[str, str]):
-    """L5 (JDBC flavour): append a batch with its id; delete-then-insert on the
-    batch id makes a replay idempotent when the target table has that column."""
+    """L5 (JDBC flavour): append a batch with its id.  A replayed batch is appended
+    again: its readers keep one copy of each batch id, or use ``idempotent_sink``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append")
          .jdbc(url, table, properties=properties))
@@ -107,7 +107,7 @@ def start_enrich_stream(spark: SparkSession, source: DataFrame, event_dim: DataF
 
 
 def quick_status(query) -> dict:
-    """Batch id, input rows, total rows so far, input rate of the last batch."""
+    """Batch id, input rows, total rows so far, processed rate of the last batch."""
     progress = query.recentProgress
     total = sum(p.get("numInputRows", 0) for p in (x if isinstance(x, dict) else x.jsonValue()
                                                    for x in progress)) if progress else 0
@@ -116,7 +116,7 @@ def quick_status(query) -> dict:
     if not last:
         return {"batch_id": None, "rows": 0, "total_rows": total, "rate": 0.0}
     return {"batch_id": last.get("batchId"), "rows": last.get("numInputRows"),
-            "total_rows": total, "rate": last.get("inputRowsPerSecond")}
+            "total_rows": total, "rate": last.get("processedRowsPerSecond")}
 
 
 def progress_table(spark: SparkSession, query) -> DataFrame:

@@ -1,8 +1,15 @@
 """Cases that clean oracle data hides: missing objects, null groups, text numbers, depth, fresh listings."""
 
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
 from lakemart.functions import features as fx
 from lakemart.functions.nested import deep_values
-from lakemart.operators import enrich, profile, windows
+from lakemart.operators import enrich, lake, profile, windows
+from lakemart.plans import catalog as cat
+from lakemart.session import scratch_path
 
 
 def test_deep_values_keep_documents_without_a_path(spark):
@@ -55,3 +62,33 @@ def test_bad_dates_do_not_stop_the_decoder(spark):
     df = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
     r = stream.decode(df).first()
     assert (r.id, r.date, r.event_date) == (1, None, None)
+
+
+def test_bad_slice_is_skipped_and_types_may_drift(spark):
+    root, silver, manifest = (scratch_path(spark, f"drift-{x}") for x in ("bronze", "silver", "manifest"))
+    for month, kind in (("2025-01", "bigint"), ("2025-02", "double")):
+        (spark.range(4).select(F.col("id").cast("int").alias("VendorID"), F.lit(2).cast(kind).alias("passenger_count"))
+         .write.parquet(f"{root}/slice={month}"))
+    bad = os.path.join(root.removeprefix("file:"), "slice=2025-03")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-00000-bad.parquet"), "wb") as fh:
+        fh.write(b"not parquet")
+    got = {r.slice: (r.rows, r.status[:5]) for r in
+           lake.incremental_normalize(spark, root, silver, manifest, on_error="skip").collect()}
+    assert got == {"2025-01": (4, "done"), "2025-02": (4, "done"), "2025-03": (None, "error")}
+    assert {r[0] for r in spark.read.parquet(silver).select("passenger_count").collect()} == {2}
+
+
+def test_snapshot_keeps_added_columns_and_rejects_unknown_versions(spark):
+    t = cat.SnapshotTable(spark, scratch_path(spark, "snap-drift"))
+    t.commit(spark.range(2))
+    t.commit(spark.range(3).withColumn("extra", F.lit("x")))
+    assert t.read().filter("extra IS NULL").count() == 2 and t.read(1).count() == 2
+    for version in (0, 99):
+        with pytest.raises(ValueError):
+            t.read(version)
+
+
+def test_plan_report_counts_each_operator_once(spark):
+    assert cat.plan_report(spark.range(10).groupBy("id").count().select("count"))["exchanges"] <= 1
+    assert cat.plan_report(spark.range(10).repartition(3, "id"))["exchanges"] == 1

@@ -279,9 +279,13 @@ def _woven(blocks: list[Block], labels: list[bool], texts: list[str], rng) -> tu
 
 
 def fit(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE_PAGES) -> Labeller:
-    """A labeller from at most ``sample`` pages of bounded length, by hash order."""
-    small = pages.select(F.col(html_column).alias("h")).filter(F.length("h") <= SAMPLE_CHARS)
-    rows = [r.h for r in small.orderBy(F.xxhash64("h"), "h").limit(sample).collect()]
+    """A labeller from at most ``sample`` different pages of bounded length, the first by hash.
+
+    Hashes are chosen first, so that no task sends pages that are not taken.
+    """
+    small = pages.select(F.col(html_column).alias("h"), F.xxhash64(html_column).alias("k")).filter(F.length("h") <= SAMPLE_CHARS)
+    keys = [r.k for r in small.select("k").distinct().orderBy("k").limit(sample).collect()]
+    rows = [r.h for r in small.filter(F.col("k").isin(keys)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect()]
     rng = np.random.default_rng(71)
     parsed = [b for b in map(blocks_of, rows) if b]
     model = Labeller()

@@ -108,7 +108,6 @@ def categorical_describe(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 MAX_EXACT_VALUES = 1_000_000   # distinct values one task may rank exactly
-MAX_REFINE_ROUNDS = 6
 
 
 def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
@@ -118,9 +117,8 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     several columns, with no step that ranks an unbounded set in one task.
 
     1. histogram of (column, value) -> count: a map-side-combined aggregation
-       (a hot value costs one row per task), checkpointed to shared storage;
-       (skipped when an approximate distinct count shows every column is
-       already small enough to rank exactly in one pass);
+       (a hot value costs one row per task), checkpointed to shared storage,
+       so the source is scanned once for all columns;
     2. refinement rounds: every open value range is cut at approximate split
        points (a bounded sketch, ``buckets`` values per range to the driver)
        with a Bucketizer, bucket row counts give rank offsets (O(buckets)
@@ -135,25 +133,14 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
 
-    def valid(c):
-        v = F.col(c).cast("double")
-        return v.isNotNull() & ~F.isnan(v)
-
-    # One cheap pass: exact non-null counts (for the ranks) and approximate
-    # distinct counts (to decide whether refinement is needed at all).
-    stats = df.agg(*[x for c in cols for x in (
-        F.count_if(valid(c)).alias(f"n_{c}"),
-        F.approx_count_distinct(F.when(valid(c), F.col(c).cast("double"))).alias(f"d_{c}"))]).first()
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in cols])).alias("p"))
     hist = (pairs.select("p.col", "p.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
             .groupBy("col", "v").agg(F.count(F.lit(1)).alias("c")))
-    small = all(stats[f"d_{c}"] <= 0.9 * max_exact for c in cols)
-    if not small:
-        # reused by every refinement round: cut lineage in shared storage
-        checkpoint_root(df.sparkSession)
-        hist = hist.checkpoint(eager=True)
-    totals = {c: (stats[f"n_{c}"], stats[f"d_{c}"]) for c in cols}
+    checkpoint_root(df.sparkSession)
+    hist = hist.checkpoint(eager=True)      # every later job reads it
+    totals = {r["col"]: (r["n"], r["d"]) for r in hist.groupBy("col").agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
     inf = float("inf")
     # target (col, rank) -> [lo, hi, offset, distinct]: rank lies in values [lo, hi),
     # offset = rows of the column below lo.
@@ -174,7 +161,7 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
             cond = cond & (F.col("v") < hi)
         return cond
 
-    for _ in range(MAX_REFINE_ROUNDS):
+    while True:
         open_ranges = sorted({(c, lo, hi) for (c, _k), (lo, hi, _o, d) in targets.items() if d > max_exact})
         if not open_ranges:
             break
@@ -208,6 +195,8 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
             acc = off
             for b, rows, dd in sorted(counts.get(i, [])):
                 if acc <= k < acc + rows:
+                    if dd >= d:
+                        raise RuntimeError(f"the range of {c} from {lo} to {hi} could not be split")
                     targets[(c, k)] = [e[b], e[b + 1], acc, dd]
                     break
                 acc += rows

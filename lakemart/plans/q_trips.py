@@ -438,13 +438,12 @@ def q_pending_slices(spark, sf):
 
 
 @query("missing_files", sql="""
-SELECT strftime(o_orderdate, '%Y-%m') AS slice FROM orders
-EXCEPT SELECT strftime(l_shipdate, '%Y-%m') FROM lineitem WHERE l_returnflag = 'R'""")
+SELECT strftime(l_shipdate, '%Y-%m') AS slice FROM lineitem
+EXCEPT SELECT strftime(o_orderdate, '%Y-%m') FROM orders""")
 def q_missing_files(spark, sf):
     """Remote slices minus local slices (set difference)."""
-    remote = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("slice"))
-    local = (table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
-             .select(F.date_format("l_shipdate", "yyyy-MM").alias("slice")))
+    remote = table(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("slice"))
+    local = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("slice"))
     return lake.missing(remote, local)
 
 

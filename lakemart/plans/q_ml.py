@@ -196,10 +196,8 @@ def gbt_regression_metrics(spark, sf):
     data = ml.assembler(feats).transform(li)
     train, test = ml.random_split(data, 0.7, 42)
     out = None
-    # small models keep the check quick; the builders' defaults carry the
-    # original notebooks' hyper-parameters
-    for name, model in (("gbt_regressor", ml.gbt_regressor("l_extendedprice", iters=10, depth=3)),
-                        ("rf_regressor", ml.rf_regressor("l_extendedprice", trees=10, depth=4))):
+    for name, model in (("gbt_regressor", ml.gbt_regressor("l_extendedprice")),
+                        ("rf_regressor", ml.rf_regressor("l_extendedprice"))):
         fitted = model.fit(train)
         pred = fitted.transform(test)
         m = ml.regression_metrics(pred, "l_extendedprice")

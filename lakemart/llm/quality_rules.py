@@ -21,9 +21,10 @@ from lakemart.llm.common import WS, checkpointed, let, word_array
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A line is boilerplate of a host above this many distinct documents and this
-#: share of the host's distinct documents.
-LINE_DOCS, LINE_SHARE = 100, 0.02
+#: A line is boilerplate of a host above this share of the host's distinct
+#: documents, whatever the host's size; LINE_DOCS only keeps a line of one or two
+#: documents out (at least 3 are needed), so it decides for hosts under 150.
+LINE_DOCS, LINE_SHARE = 2, 0.02
 #: A document is depleted when a smaller share of its words is left.
 MIN_LEFT = 0.3
 

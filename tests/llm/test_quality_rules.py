@@ -52,5 +52,19 @@ def test_line_frequency_removes_and_rejects(spark):
     assert out[300].kept and out[300].n_line_words == 0
 
 
+def test_production_limits_fire_at_every_size(spark):
+    """The same share of a small and a larger host loses its line; two documents are too few."""
+    def host(name, at, n, n_banner):
+        body = ["\n".join(" ".join(f"{name}{chr(97 + i // 26)}{chr(97 + i % 26)}q{chr(97 + k // 26)}{chr(97 + k % 26)}"
+                                   for k in range(r, r + 20)) for r in (0, 20, 40)) for i in range(n)]
+        return [(at + i, b + ("\nRead more: page 7" if i < n_banner else ""), name, 0, "") for i, b in enumerate(body)]
+
+    rows = host("small", 0, 20, 3) + host("large", 1000, 200, 30) + host("two", 2000, 20, 2)
+    out = {r.doc_id: r for r in qr.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i for i, r in out.items() if r.n_line_words} == {*range(3), *range(1000, 1030)}
+    assert out[0].n_line_words == 4 and out[0].clean_text == rows[0][1].rsplit("\n", 1)[0]
+    assert all(r.kept for r in out.values())
+
+
 def test_empty_table(spark):
     assert qr.quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0

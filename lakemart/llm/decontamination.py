@@ -59,7 +59,13 @@ def _multipliers(minima: int) -> np.ndarray:
 
 
 def _minima(shingles: np.ndarray, multipliers: np.ndarray, block: int) -> np.ndarray:
-    """Minimum of each hash function over blocks of ``block`` shingles."""
+    """Minimum of each hash function over blocks of ``block`` shingles.
+
+    A block of more than ``CHUNK`` shingles is the minimum of its chunks' minima.
+    """
+    if block > CHUNK:
+        return np.concatenate([_minima(shingles[at:at + block], multipliers, CHUNK).min(axis=1, keepdims=True)
+                               for at in range(0, len(shingles), block)], axis=1)
     out = []
     step = CHUNK // block * block
     for at in range(0, len(shingles), step):

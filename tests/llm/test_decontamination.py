@@ -66,6 +66,17 @@ def test_drops_documents(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in docs if str(d) not in bad)
 
 
+def test_item_longer_than_a_chunk(spark):
+    rng = random.Random(3)
+    item = " ".join(f"v{rng.randrange(5000)}" for _ in range(20_000))
+    other = " ".join(f"v{rng.randrange(5000)}" for _ in range(20_000))
+    docs = [(1, f"before {item} after"), (2, other), (3, " ".join(item.split()[:18_000])), (4, " ".join(item.split()[:9_000]))]
+    for items in ([(7, item)], [(7, item), (8, "before v1"), (9, " ".join(item.split()[50:80]))]):
+        got = sorted((str(r.doc_id), str(r.item_id), r.n_shared, r.n_shingles) for r in run(spark, docs, items)[1].collect())
+        assert got == brute(docs, items)
+        assert {d for d, i, *_ in got if i == "7"} == {"1", "3"}
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a")])[1].count() == 0
     assert run(spark, [(1, "a")], [])[1].count() == 0

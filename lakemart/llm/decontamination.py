@@ -7,7 +7,8 @@ about containment.  Items are partitioned by size (shingle counts up to 8, 16,
 at least about 0.2.  A window and an item that agree on one of ``K`` minima are
 a candidate; candidates are verified by exact containment of word shingles in
 the whole document.  A containment of 0.8 is missed with a probability below
-(1 - 0.19) ** K, some 1e-6 for K = 64.
+(1 - 0.19) ** K, some 1e-6 for K = 64.  Items of at most 4 shingles are far
+smaller than any window; they are candidates wherever one of their shingles is.
 
 Window minima come from block minima, merged upwards from size to size, so each
 shingle is hashed once for all partitions.  Documents are only scanned, never
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import WordHashes, mix64, utf8
 
 SHINGLE, CONTAINMENT, MINIMA, SMALLEST = 5, 0.8, 64, 8
+EXACT = SMALLEST // 2       # items of so many shingles are looked up shingle by shingle
 BLOCK_ITEMS = 4096          # items sent to the tasks at once
 CELLS = 1 << 20             # prefilter of signature values
 CHUNK = 1 << 14             # shingles hashed at once
@@ -91,7 +93,7 @@ class ItemIndex:
         hashes = WordHashes()
         self.items = []                         # (item_id, width, shingles)
         sizes: dict[int, list] = {}             # partition -> [(values, item)]
-        short: dict[int, list] = {}             # items of fewer words: one shingle of that width
+        short: dict[int, list] = {}             # width -> [(shingles, item)] of items up to EXACT shingles
         for item_id, text in items:
             words = normal_words(text)
             if not words:
@@ -100,7 +102,7 @@ class ItemIndex:
             self.items.append((item_id, width, shingle_set(words, width)))
             h = np.unique(shingle_hashes(hashes.array(words), width))
             at = len(self.items) - 1
-            if width < shingle:
+            if len(h) <= EXACT:
                 short.setdefault(width, []).append((h, at))
             else:
                 size = max(SMALLEST, 1 << (len(h) - 1).bit_length())

@@ -77,6 +77,21 @@ def test_item_longer_than_a_chunk(spark):
         assert {d for d, i, *_ in got if i == "7"} == {"1", "3"}
 
 
+def test_items_of_few_shingles_are_never_missed():
+    rng = random.Random(6)
+    hashes = dc.WordHashes()
+    missed = []
+    for k in range(1500):
+        item = [f"i{k}w{j}".encode() for j in range(5 + k % 4)]
+        words = [f"d{rng.randrange(10**6)}".encode() for _ in range(40)]
+        at = rng.choice([0, 20, 40])
+        words[at:at] = item
+        index = dc.ItemIndex([(k, b" ".join(item).decode())], dc.SHINGLE, dc.MINIMA)
+        if not index.search(words, hashes.array(words), dc.CONTAINMENT):
+            missed.append(k)
+    assert missed == []
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a")])[1].count() == 0
     assert run(spark, [(1, "a")], [])[1].count() == 0

@@ -1,11 +1,12 @@
 """Incremental medallion jobs.
 
 A *slice* is a month (``YYYY-MM``).  Progress lives in a manifest table
-(slice, status, rows, written_at) that is appended only after a slice's data
-write has committed, so a half-written slice is never taken as done.
+(slice, status, rows, written_at, files) that is appended only after a slice's
+data write has committed, so a half-written slice is never taken as done.
 Candidates come from Spark's own file listing (``_metadata.file_path``), not
 from a driver-side object-store loop; new = candidates anti-joined with the
-manifest; all new slices are read in ONE multi-path scan and written with a
+manifest on file path, length and time, so a file that arrives late or is
+replaced makes its slice new again; all new slices are read in ONE multi-path scan and written with a
 partitioned, dynamic-overwrite write, so a re-run of a slice replaces it.
 """
 
@@ -52,7 +53,9 @@ EDA_COLUMNS = [
     "avg_speed_kmh", "tip_ratio", "has_tip", "revenue_per_minute",
 ]
 
-MANIFEST_SCHEMA = "slice string, status string, rows bigint, written_at timestamp, run_id string"
+FILE_COLUMNS = ["path", "length", "modified"]
+MANIFEST_SCHEMA = ("slice string, status string, rows bigint, written_at timestamp, run_id string, "
+                   "files array<struct<path: string, length: bigint, modified: bigint>>")
 
 
 # ---- C1 / E26 -------------------------------------------------------------
@@ -91,22 +94,23 @@ def file_name(path: str | Column) -> Column:
 # ---- C2 / C3 / C4 / C5 ----------------------------------------------------
 
 def list_candidates(spark: SparkSession, root: str) -> DataFrame:
-    """One row per data file under ``root`` with its slice.
+    """One row per data file under ``root``: slice, path, length, modified (microseconds).
 
-    Uses the binaryFile source only for its listing column (``content`` is
+    Uses the binaryFile source only for its listing columns (``content`` is
     pruned, so files are not read) — the listing runs as a Spark job, not as
     a driver-side loop over an object-store client.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-    return (files.select("path", slice_key("path").alias("slice"))
+             .option("pathGlobFilter", "*.parquet").load(root)
+             .select("path", "length", F.unix_micros("modificationTime").alias("modified")))
+    return (files.select(*FILE_COLUMNS, slice_key("path").alias("slice"))
             .filter(F.col("slice").isNotNull()))
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
     """Done slices; a missing manifest means nothing is done yet."""
     try:
-        return spark.read.parquet(manifest_path).filter(F.col("status") == "done")
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path).filter(F.col("status") == "done")
     except Exception as exc:  # AnalysisException: path does not exist
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return spark.createDataFrame([], MANIFEST_SCHEMA)
@@ -114,9 +118,10 @@ def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
 
 
 def pending_slices(candidates: DataFrame, done: DataFrame) -> DataFrame:
-    """C4: candidate slices not yet in the manifest (left anti join)."""
-    return (candidates.select("slice").distinct()
-            .join(done.select("slice"), "slice", "left_anti"))
+    """C4: slices with a candidate file not yet in the manifest (left anti join)."""
+    keys = ["slice", *FILE_COLUMNS]
+    return (candidates.select(*keys).join(done.select("slice", F.inline("files")), keys, "left_anti")
+            .select("slice").distinct())
 
 
 def missing(remote: DataFrame, local: DataFrame) -> DataFrame:
@@ -242,15 +247,17 @@ def write_slices(df: DataFrame, root: str, slice_col: str = "slice", mode: str =
      .partitionBy(slice_col).parquet(root))
 
 
-def append_manifest(spark: SparkSession, manifest_path: str, counts: DataFrame,
+def append_manifest(spark: SparkSession, manifest_path: str, counts: DataFrame, files: DataFrame,
                     run_id: str | None = None) -> str:
-    """Record slices as done (call after their data write committed)."""
+    """Record slices and the ``files`` read for them as done (call after their data write committed)."""
     run_id = run_id or uuid.uuid4().hex
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    (counts.select(F.col("slice"), F.lit("done").alias("status"),
+    read = files.groupBy("slice").agg(F.collect_list(F.struct(*FILE_COLUMNS)).alias("files"))
+    (counts.withColumn("slice", F.col("slice").cast("string")).join(read, "slice", "left")
+     .select(F.col("slice"), F.lit("done").alias("status"),
                    F.col("rows").cast("bigint").alias("rows"),
                    F.lit(now).cast("timestamp").alias("written_at"),
-                   F.lit(run_id).alias("run_id"))
+                   F.lit(run_id).alias("run_id"), F.col("files"))
      .write.mode("append").parquet(manifest_path))
     return run_id
 
@@ -276,7 +283,9 @@ def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: st
     done = spark.createDataFrame([], MANIFEST_SCHEMA) if full else read_manifest(spark, manifest_path)
     # The list of pending paths is O(number of files), not O(rows).
     files: dict[str, list[str]] = {}
-    for r in candidates.join(pending_slices(candidates, done), "slice", "left_semi").collect():
+    pending = candidates.join(pending_slices(candidates, done), "slice", "left_semi")
+    listed = pending.collect()
+    for r in listed:
         files.setdefault(r.slice, []).append(r.path)
     status = "slice string, rows bigint, status string"
     if not files:
@@ -298,7 +307,7 @@ def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: st
         return errors
     counts = (spark.read.parquet(silver_root).filter(F.col("slice").cast("string").isin(good))
               .groupBy("slice").agg(F.count(F.lit(1)).alias("rows")))
-    run_id = append_manifest(spark, manifest_path, counts)
+    run_id = append_manifest(spark, manifest_path, counts, spark.createDataFrame(listed, pending.schema))
     # The manifest is append-only, so this read stays the same later on.
     return (spark.read.parquet(manifest_path).filter(F.col("run_id") == run_id)
             .select("slice", "rows", "status").unionByName(errors))

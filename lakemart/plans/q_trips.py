@@ -432,8 +432,8 @@ def q_pending_slices(spark, sf):
     root = _write_order_slices(spark, sf)
     manifest = scratch_path(spark, "manifest")
     cands = lake.list_candidates(spark, root)
-    done = cands.select("slice").distinct().filter(F.col("slice") < "1998-01")
-    lake.append_manifest(spark, manifest, done.withColumn("rows", F.lit(0)))
+    done = cands.filter(F.col("slice") < "1998-01")
+    lake.append_manifest(spark, manifest, done.select("slice", F.lit(0).alias("rows")).distinct(), done)
     return lake.pending_slices(cands, lake.read_manifest(spark, manifest))
 
 

@@ -43,6 +43,19 @@ def test_incremental_is_replay_safe(spark):
     assert spark.read.parquet(silver).count() == 40
 
 
+def test_late_file_of_a_done_slice_is_read(spark):
+    root, silver, manifest = (scratch_path(spark, n) for n in ("t-late-bronze", "t-late-silver", "t-late-manifest"))
+    df = spark.range(20).select((F.col("id") % 3 + 1).cast("int").alias("VendorID"), F.lit(1.0).alias("fare_amount"),
+                                F.concat(F.lit("2025-0"), F.col("id") % 2 + 1).alias("slice"))
+    lake.write_slices(df, root)
+    assert lake.incremental_normalize(spark, root, silver, manifest).count() == 2
+    df.filter("slice = '2025-01'").limit(5).drop("slice").coalesce(1).write.mode("append").parquet(f"{root}/slice=2025-01")
+    late = lake.incremental_normalize(spark, root, silver, manifest)
+    assert [(r.slice, r.rows, r.status) for r in late.collect()] == [("2025-01", 15, "done")]
+    assert spark.read.parquet(silver).count() == 25
+    assert lake.incremental_normalize(spark, root, silver, manifest).count() == 0
+
+
 def test_clean_report_single_pass(spark):
     df = spark.createDataFrame([(1,), (5,), (9,)], "passenger_count int").withColumns({
         "tpep_pickup_datetime": F.expr("timestamp_ntz'2024-01-01 00:00:00'"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form
@@ -147,3 +147,47 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = (large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v")))).distinct()
         pairs = materialized(small, "links")
+
+
+#: Rows that a join may broadcast: only below this many bytes, by exact count.
+BROADCAST_BYTES = 8 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows stay below ``limit``
+    bytes, else as it is (Spark then shuffles and splits hot keys).  Meant for
+    tables already written: they are counted by one cheap job."""
+    return F.broadcast(df) if df.limit(limit // row_bytes + 1).count() * row_bytes <= limit else df
+
+
+def partitions_for(df: DataFrame, bytes_each: int = 64 << 20) -> int:
+    """Partitions by the input's size in bytes (Spark's estimate of the scan),
+    at least as many as the session shuffles to."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, size // bytes_each) if size < 1 << 60 else least
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Written rows of ``df`` with pos (0, 1, ... by ``order`` within ``group``), size
+    (rows of the group) and first (a number of the group, ascending as groups do;
+    nulls come first).  No group lies in one task: rows are sorted by ranges, and
+    what a range adds is counted per range.  Equal rows are dealt apart.
+    """
+    keys = [*group, *order]
+    rows = (df.withColumn("tie_", F.monotonically_increasing_id())
+            .repartitionByRange(partitions_for(df), *keys, "tie_").sortWithinPartitions(*keys, "tie_").drop("tie_")
+            .withColumn("id_", F.monotonically_increasing_id()))
+    rows = materialized(rows, name).withColumn("range_", F.shiftright("id_", 33))
+    ranges = rows.groupBy(*group, "range_").agg(F.min("id_").alias("low_"), F.count(F.lit(1)).alias("n_"))
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(*group, "range_", "low_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("before_"),
+                           F.sum("n_").over(whole).alias("size"), F.min("low_").over(whole).alias("first"))
+    match = F.col("a.range_") == F.col("b.range_")
+    for g in group:
+        match &= F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}"))
+    return rows.alias("a").join(ranges.alias("b"), match).select(
+        *[F.col(f"a.`{c}`") for c in df.columns], (F.col("id_") - F.col("low_") + F.col("before_")).alias("pos"),
+        "size", "first")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import (chat, decontamination, html_extraction, lm_scoring, mixing, quality_classifier,
+from lakemart.llm import (chat, decontamination, html_extraction, lm_scoring, merkle, mixing, quality_classifier,
                           quality_rules, simhash, substring_dedup, suffix_dedup)
 from lakemart.llm.common import importable, read_table
 
@@ -94,3 +94,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return html_extraction.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
+@query("op13_merkle_manifest", merkle.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and checked proof of all documents; half of them tampered with."""
+    out = merkle.merkle_manifest(read_table(spark, sf_dir, "documents"), tampered={"text": merkle.without_newlines()})
+    return out.drop("path", "in_group")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import (chat, decontamination, html_extraction, lm_scoring, merkle, mixing, quality_classifier,
-                          quality_rules, simhash, substring_dedup, suffix_dedup)
+from lakemart.llm import (chat, decontamination, divergence, html_extraction, lm_scoring, merkle, mixing,
+                          quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup)
 from lakemart.llm.common import importable, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and checked proof of all documents; half of them tampered with."""
     out = merkle.merkle_manifest(read_table(spark, sf_dir, "documents"), tampered={"text": merkle.without_newlines()})
     return out.drop("path", "in_group")
+
+
+@query("op12_source_divergence", divergence.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of all sources of a language, and the terms that mark each source."""
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import (chat, decontamination, divergence, html_extraction, lm_scoring, merkle, mixing,
-                          quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup)
+                          quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup, token_files)
 from lakemart.llm.common import importable, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of all sources of a language, and the terms that mark each source."""
     return divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_files")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ids in compressed files, read back."""
+    import public_tokenizers
+    return token_files.token_file_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

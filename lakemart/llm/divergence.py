@@ -34,7 +34,9 @@ from lakemart.llm.common import broadcast_if_small, materialized, utf8
 LEAST_DOCS = 30
 TOP_TERMS = 50
 SCALE, SMOOTH = 1_000_000_000, 5
-BLOCK_POSTINGS = 1_000_000      # postings of a block of the index
+#: Postings of a block of the index: as many as a block has distances of two
+#: groups, so that accumulators are no more data than postings, within these bounds.
+BLOCK_POSTINGS = (50_000, 2_000_000)
 SCATTER = 1 << 21               # postings scattered at once
 HELD_TERMS = 400_000            # distinct (group, term) pairs that a task counts before it passes them on
 PIECE = 1 << 20                 # bytes of a text split at once
@@ -173,7 +175,7 @@ def _added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def source_divergence(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",
                       least_docs: int = LEAST_DOCS, top_terms: int = TOP_TERMS,
-                      block_postings: int = BLOCK_POSTINGS) -> DataFrame:
+                      block_postings: tuple[int, int] = BLOCK_POSTINGS) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair``, the distance to each
     other source of the language, and part ``term``, the terms in which a source
     exceeds its language most.
@@ -198,13 +200,16 @@ def source_divergence(docs: DataFrame, lang: str = "lang", source: str = "source
     empty = F.lit("")
     named = docs.select(F.coalesce(F.col(lang), empty).alias("lang"), F.coalesce(F.col(source), empty).alias("source")).distinct()
     langs = kept.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.sum("one").alias("terms"),
-                                     F.ceil(F.count(F.lit(1)) / block_postings).alias("blocks"))
+                                     F.count(F.lit(1)).alias("postings"))
     sizes = kept.groupBy(*group).agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
     whole = Window.partitionBy("lang")
+    least, most = (F.lit(n).cast("long") for n in block_postings)
+    peers = F.count(F.lit(1)).over(whole)
+    in_block = F.least(F.greatest(peers * peers, least), most)
     groups = named.join(sizes, group, "left").join(langs, "lang", "left").select(
         *group, *[F.coalesce(c, zero).alias(c) for c in ("total", "lang_total", "terms")],
-        F.coalesce("blocks", F.lit(1)).alias("blocks"))
+        F.coalesce(F.ceil(F.col("postings") / in_block), F.lit(1)).alias("blocks"))
     groups = materialized(groups.withColumn("gid", F.row_number().over(whole.orderBy("source")).cast("long") - 1), "groups")
     facts = broadcast_if_small(groups, 200)
     posted = kept.join(facts, group).withColumns({

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions import features as fx
+from lakemart.operators import layers
 from lakemart.operators.clean import Bound, filter_bounds, bounds_condition
 
 SLICE_PATTERN = r"(\d{4}-\d{2})"
@@ -108,19 +109,24 @@ def list_candidates(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    """Done slices; a missing manifest means nothing is done yet."""
+    """Finished slices (done or removed); a missing manifest means nothing is done yet."""
     try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path).filter(F.col("status") == "done")
+        rows = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
     except Exception as exc:  # AnalysisException: path does not exist
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return spark.createDataFrame([], MANIFEST_SCHEMA)
         raise
+    return rows.filter(F.col("status").isin("done", "removed"))
 
 
 def pending_slices(candidates: DataFrame, done: DataFrame) -> DataFrame:
-    """C4: slices with a candidate file not yet in the manifest (left anti join)."""
+    """C4: slices whose files differ from those last read for them: a new, late
+    or replaced file, or one that is no longer there (left anti joins both ways)."""
     keys = ["slice", *FILE_COLUMNS]
-    return (candidates.select(*keys).join(done.select("slice", F.inline("files")), keys, "left_anti")
+    last = done.groupBy("slice").agg(F.max_by("files", "written_at").alias("files"))
+    read = last.select("slice", F.inline("files"))
+    there = candidates.select(*keys)
+    return (there.join(read, keys, "left_anti").unionByName(read.join(there, keys, "left_anti"))
             .select("slice").distinct())
 
 
@@ -177,24 +183,39 @@ def clean_trips(trips: DataFrame, bounds: dict[str, Bound]) -> DataFrame:
     return d.drop("store_and_fwd_flag")
 
 
-def enrich_trips(clean: DataFrame, vendors: DataFrame, ratecodes: DataFrame,
-                 payments: DataFrame, zones: DataFrame) -> DataFrame:
+#: which dimension brings which columns to the trips
+DIMENSION_COLUMNS = {
+    "vendors": ("vendor_name",), "ratecodes": ("ratecode_name",), "payments": ("payment_name",),
+    "pickup": ("pickup_borough", "pickup_zone"), "dropoff": ("dropoff_borough", "dropoff_zone"),
+}
+
+
+def enrich_trips(clean: DataFrame, vendors: DataFrame, ratecodes: DataFrame, payments: DataFrame, zones: DataFrame,
+                 columns: tuple[str, ...] | None = None) -> DataFrame:
     """C9 part 2: left joins to four dimensions, zones twice (role-playing).
 
+    ``columns`` leaves out the joins that none of these columns needs (every
+    dimension's key is unique, so a left join that is not read changes nothing).
+
     Code lists (rate codes, payments) and the zone lookup (a fixed geography:
     25 nations here, about 265 taxi zones in the original data) have a proven
     size bound and are broadcast — a shuffle join on a 25-value key would send
-    the whole fact through at most 25 tasks.  Vendors grow with the data, so
-    Spark's size check decides (planner estimate, then AQE runtime statistics);
-    the fact is already partitioned by the vendor key after the supplier join.
+    the whole fact through at most 25 tasks.  Vendors grow with the data: Spark's
+    size check decides, and beyond it heavy vendors are joined apart.
     """
     from lakemart.operators.enrich import role_playing
-    facts = (clean
-             .join(vendors, "vendorid", "left")
-             .join(F.broadcast(ratecodes), "ratecodeid", "left")
-             .join(F.broadcast(payments), "payment_type", "left"))
-    return role_playing(facts, F.broadcast(zones), "locationid",
-                        {"pickup": "pulocationid", "dropoff": "dolocationid"},
+    from lakemart.operators.skew import skew_left_join
+
+    def read(dimension: str) -> bool:
+        return columns is None or any(c in columns for c in DIMENSION_COLUMNS[dimension])
+
+    facts = skew_left_join(clean, vendors, "vendorid") if read("vendors") else clean
+    if read("ratecodes"):
+        facts = facts.join(F.broadcast(ratecodes), "ratecodeid", "left")
+    if read("payments"):
+        facts = facts.join(F.broadcast(payments), "payment_type", "left")
+    roles = {"pickup": "pulocationid", "dropoff": "dolocationid"}
+    return role_playing(facts, F.broadcast(zones), "locationid", {r: c for r, c in roles.items() if read(r)},
                         {"borough": "borough", "zone": "zone"})
 
 
@@ -262,52 +283,90 @@ def append_manifest(spark: SparkSession, manifest_path: str, counts: DataFrame,
     return run_id
 
 
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Files in as few groups as their schemas allow: within a group no column
+    changes its type.  Footers are read by Spark's own schema merge, in tasks;
+    where it fails the files are halved, so a drift between months costs a few
+    merges, and runs of files with agreeing types are put together again."""
+    def merged(some: list[str]) -> list[tuple[list[str], T.StructType]]:
+        try:
+            return [(some, spark.read.option("mergeSchema", "true").parquet(*some).schema)]
+        except Exception as exc:
+            if layers.data_error(exc) is None or len(some) == 1:
+                raise
+        half = len(some) // 2
+        return merged(some[:half]) + merged(some[half:])
+
+    groups: list[tuple[list[str], dict[str, T.StructField]]] = []
+    for files, schema in merged(sorted(paths)):
+        fields = {f.name.lower(): f for f in schema.fields}
+        for members, known in groups:
+            if all(known[n].dataType == f.dataType and known[n].name == f.name for n, f in fields.items() if n in known):
+                members += files
+                known.update({n: f for n, f in fields.items() if n not in known})
+                break
+        else:
+            groups.append((list(files), fields))
+    return [(members, T.StructType(list(known.values()))) for members, known in groups]
+
+
 def _normalize(spark: SparkSession, paths: list[str], silver_root: str) -> None:
-    raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-    raw = raw.withColumn("__slice", slice_key(F.col("_metadata.file_path")))
-    write_slices(standardize(raw, expected=TRIP_COLUMNS + ["__slice"], add_missing=True)
-                 .withColumnRenamed("__slice", "slice"), silver_root)
+    """All files in one write: one scan for each group of agreeing schemas."""
+    out = None
+    for files, schema in schema_groups(spark, paths):
+        raw = spark.read.schema(schema).parquet(*files).withColumn("__slice", slice_key(F.col("_metadata.file_path")))
+        part = standardize(raw, expected=TRIP_COLUMNS + ["__slice"], add_missing=True).withColumnRenamed("__slice", "slice")
+        # columns without a declared type (timestamps) may be absent here and typed there
+        out = part if out is None else out.unionByName(part)
+    write_slices(out, silver_root)
 
 
 def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: str,
                           manifest_path: str, full: bool = False,
                           on_error: str = "raise") -> DataFrame:
-    """Standardise every pending slice, all in one job where their
-    schemas merge, else slice by slice (a column's type may drift between months).
+    """Standardise every pending slice in one job, whatever types its
+    columns have in which month.  Slices whose files are all gone are dropped.
 
     Returns a status DataFrame (slice, rows, status).  ``full=True`` reprocesses
     every candidate (C8).  ``on_error="skip"`` gives a slice that can't be read an
-    ``error`` status and goes on with the others (C10); ``"raise"`` fails fast (C7).
+    ``error`` status and goes on with the others; ``"raise"`` fails fast (C7).
+    Failures that don't come from the data of a slice are always raised.
     """
     candidates = list_candidates(spark, bronze_root)
     done = spark.createDataFrame([], MANIFEST_SCHEMA) if full else read_manifest(spark, manifest_path)
-    # The list of pending paths is O(number of files), not O(rows).
-    files: dict[str, list[str]] = {}
-    pending = candidates.join(pending_slices(candidates, done), "slice", "left_semi")
+    # The names of pending files are O(files): Spark wants a scan's paths from the driver.
+    names = [r.slice for r in pending_slices(candidates, done).collect()]
+    pending = candidates.filter(F.col("slice").isin(names)) if names else candidates.limit(0)
     listed = pending.collect()
+    files: dict[str, list[str]] = {}
     for r in listed:
         files.setdefault(r.slice, []).append(r.path)
+    gone = sorted(set(names) - set(files))
     status = "slice string, rows bigint, status string"
-    if not files:
-        return spark.createDataFrame([], status)
-    failed: dict[str, str] = {}
-    try:
-        _normalize(spark, [p for paths in files.values() for p in paths], silver_root)
-    except Exception:
-        for name, paths in sorted(files.items()):
-            try:
-                _normalize(spark, paths, silver_root)
-            except Exception as exc:
-                if on_error == "raise":
-                    raise
-                failed[name] = f"error: {type(exc).__name__}"
-    errors = spark.createDataFrame([(s, None, e) for s, e in failed.items()], status)
+
+    def work(slices: list[str]) -> None:
+        _normalize(spark, [p for s in slices for p in files[s]], silver_root)
+
+    failed = layers.bisect(sorted(files), work, on_error)
+    layers.delete_slices(spark, silver_root, gone)
+    errors = spark.createDataFrame([(s, None, f"error: {e}") for s, e in sorted(failed.items())], status)
     good = [s for s in files if s not in failed]
-    if not good:
+    if not good and not gone:
         return errors
-    counts = (spark.read.parquet(silver_root).filter(F.col("slice").cast("string").isin(good))
-              .groupBy("slice").agg(F.count(F.lit(1)).alias("rows")))
-    run_id = append_manifest(spark, manifest_path, counts, spark.createDataFrame(listed, pending.schema))
+    run_id = uuid.uuid4().hex
+    if good:
+        counts = (spark.read.parquet(silver_root).filter(F.col("slice").cast("string").isin(good))
+                  .groupBy("slice").agg(F.count(F.lit(1)).alias("rows")))
+        append_manifest(spark, manifest_path, counts, spark.createDataFrame(listed, pending.schema), run_id)
+    if gone:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        (spark.createDataFrame([(s, "removed", 0, now, run_id, []) for s in gone], MANIFEST_SCHEMA)
+         .write.mode("append").parquet(manifest_path))
     # The manifest is append-only, so this read stays the same later on.
     return (spark.read.parquet(manifest_path).filter(F.col("run_id") == run_id)
             .select("slice", "rows", "status").unionByName(errors))
+
+
+def manifest_versions(manifest: DataFrame) -> DataFrame:
+    """The normalised layer as the input of the next: (slice, status, version)."""
+    return layers.latest(manifest.drop("files")).select("slice", "status", F.col("run_id").alias("version"))

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import features as fx
 from lakemart.operators import clean as cl
-from lakemart.operators import lake
-from lakemart.operators.marts import build_mart, marts, simple_counts
+from lakemart.operators import lake, layers
+from lakemart.operators.marts import G1_KEYS, build_mart, marts, simple_counts
+from lakemart.operators.skew import skew_left_join
 from lakemart.plans import standins as st
 from lakemart.plans import trips as tp
 from lakemart.plans.registry import query
 from lakemart.session import scratch_path, table
+from lakemart.sources import jdbc
 
 L, E = "lineitem", "events"
 
@@ -25,7 +27,11 @@ G1_ROUND = ("total_revenue", "avg_revenue", "avg_duration", "avg_distance", "avg
 
 
 def _mart(kind, name):
-    return lambda spark, sf: build_mart(tp.eda(spark, sf, kind), marts()[name])
+    """A mart over the trips with no more joins than its columns need."""
+    def run(spark, sf):
+        spec = marts()[name]
+        return build_mart(tp.facts(spark, sf, kind, spec.needs), spec)
+    return run
 
 
 # ---- G1 / C11: the gold cube (flagship) -----------------------------------
@@ -467,6 +473,108 @@ def q_incremental_norm(spark, sf):
     return first.unionByName(second)
 
 
+@query("mart_extract", rnd=("total_revenue",), sql=tp.with_eda(L, """
+SELECT date_month, pulocationid, time_of_day, count(*) AS trip_count, sum(total_amount) AS total_revenue
+FROM eda WHERE month = 9 GROUP BY date_month, day_of_week, time_of_day, pulocationid, year, month
+HAVING count(*) > 1"""))
+def q_mart_extract(spark, sf):
+    """The September rows of the cube extracted to a table of their own, and read back."""
+    path = scratch_path(spark, "extract")
+    cube = build_mart(tp.facts(spark, sf, L, ("pulocationid",)), marts()["mart_trip_cube"])
+    jdbc.extract(cube, "month = 9 AND trip_count > 1",
+                 ["date_month", "pulocationid", "time_of_day", "trip_count", "total_revenue"], lambda d: d.write.parquet(path))
+    return spark.read.parquet(path)
+
+
+@query("skewed_supplier_join", sql="""
+SELECT n_name AS nation, count(*) AS trips, CAST(sum(floor(l_extendedprice)) AS DOUBLE) AS fare
+FROM (SELECT l.*, CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 31 = 0 THEN NULL ELSE l_suppkey END AS key FROM lineitem l)
+LEFT JOIN supplier ON key = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""")
+def q_skewed_supplier_join(spark, sf):
+    """F1j under skew: a third of the line items belong to one supplier and some to none.
+    Size-based broadcasts are off for the join, as if suppliers were too many: heavy
+    suppliers are found by a sketch and joined apart, the others by sort-merge."""
+    key = (F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 31 == 0, F.lit(None))
+           .otherwise(F.col("l_suppkey"))).cast("bigint")
+    li = table(spark, sf, "lineitem").select(key.alias("suppkey"), "l_extendedprice")
+    sup = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    joined = skew_left_join(li, sup.hint("merge"), "suppkey", "s_suppkey", always=True)
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
+    return (joined.join(nation, joined.s_nationkey == nation.n_nationkey, "left").groupBy("nation").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum(F.floor("l_extendedprice").cast("double")).alias("fare")))
+
+
+BAD_SLICE = "1995-03"
+
+
+def _layers(spark, sf):
+    """Paths of a fresh set of layers, and the trips with the month they belong to."""
+    names = ("bronze", "norm", "norm-manifest", "eda", "eda-ledger", "gold", "gold-ledger")
+    at = {n: scratch_path(spark, f"layers-{n}") for n in names}
+    return at, tp.raw_trips(spark, sf, L).withColumn("slice", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+
+
+def _norm_schema(trips):
+    return lake.standardize(trips, expected=lake.TRIP_COLUMNS + ["slice"], add_missing=True).schema
+
+
+def _advance_eda(spark, sf, at, schema):
+    norm = lake.manifest_versions(lake.read_manifest(spark, at["norm-manifest"]))
+    return layers.incremental_eda(spark, at["norm"], norm, at["eda"], at["eda-ledger"], schema, bounds=tp.bounds_for(L),
+                                  dims=tp.dims(spark, sf, L))
+
+
+@query("eda_incremental", sql=tp.with_clean(L, f"""
+SELECT slice, CASE WHEN slice = '{BAD_SLICE}' THEN NULL ELSE coalesce(n, 0) END AS rows,
+  CASE WHEN slice = '{BAD_SLICE}' THEN 'error' ELSE 'done' END AS status, 1::BIGINT AS run
+FROM (SELECT DISTINCT strftime({tp.P}, '%Y-%m') AS slice FROM trips)
+LEFT JOIN (SELECT strftime({tp.P}, '%Y-%m') AS slice, count(*) AS n FROM clean GROUP BY ALL) USING (slice)
+UNION ALL
+SELECT '{BAD_SLICE}', count(*), 'done', 2 FROM clean WHERE strftime({tp.P}, '%Y-%m') = '{BAD_SLICE}'"""))
+def q_eda_incremental(spark, sf):
+    """silver_norm to silver_eda with one slice that can't be read: it gets an
+    error row and the others go on; redone in silver_norm, it alone is pending again."""
+    at, trips = _layers(spark, sf)
+    lake.write_slices(trips, at["bronze"])
+    lake.incremental_normalize(spark, at["bronze"], at["norm"], at["norm-manifest"])
+    bad = F.col("slice") == BAD_SLICE
+    whole = spark.read.parquet(at["norm"]).withColumn("slice", F.col("slice").cast("string"))
+    broken = whole.filter(bad).withColumn("fare_amount", F.concat(F.lit("$"), F.col("fare_amount").cast("string")))
+    lake.write_slices(broken, at["norm"])
+    schema = _norm_schema(trips)
+    first = _advance_eda(spark, sf, at, schema).withColumn("run", F.lit(1).cast("long"))
+    # the month is delivered again: silver_norm redoes it, and silver_eda sees its new version
+    lake.write_slices(trips.filter(bad), at["bronze"])
+    lake.incremental_normalize(spark, at["bronze"], at["norm"], at["norm-manifest"])
+    second = _advance_eda(spark, sf, at, schema).withColumn("run", F.lit(2).cast("long"))
+    return first.unionByName(second).select("slice", "rows", "status", "run")
+
+
+@query("gold_incremental", rnd=G1_ROUND, sql=tp.with_eda(L, f"""
+SELECT date_month, year, month, day_of_week, time_of_day, CAST(pulocationid AS INTEGER) AS pulocationid, {G1_SQL_MEASURES}
+FROM eda WHERE date_month <> DATE '1997-11-01' GROUP BY ALL"""))
+def q_gold_incremental(spark, sf):
+    """C11: gold kept from persisted silver.  After the first run a late file joins
+    one month and another month's files are removed; only the states of those two
+    are touched, and gold equals a full recompute."""
+    at, trips = _layers(spark, sf)
+    schema = _norm_schema(trips)
+
+    def run():
+        lake.incremental_normalize(spark, at["bronze"], at["norm"], at["norm-manifest"])
+        _advance_eda(spark, sf, at, schema)
+        return layers.incremental_gold(spark, at["eda"], at["eda-ledger"], at["gold"], at["gold-ledger"], G1_KEYS,
+                                       layers.CUBE_MEASURES)
+
+    late = (F.col("slice") == "1996-07") & (F.col("passenger_count") % 2 == 0)
+    lake.write_slices(trips.filter(~late), at["bronze"])
+    run()
+    trips.filter(late).drop("slice").write.mode("append").parquet(f"{at['bronze']}/slice=1996-07")
+    layers.delete_slices(spark, at["bronze"], ["1997-11"])
+    run()
+    return layers.read_gold(spark, at["gold"], G1_KEYS, layers.CUBE_MEASURES)
+
+
 @query("zone_lookup_csv", sql=tp.with_eda(L, f"""
 SELECT z.borough AS pickup_borough_csv, count(*) AS trips
 FROM eda LEFT JOIN ({st.ZONES_SQL}) z ON eda.pulocationid = z.locationid GROUP BY ALL"""))

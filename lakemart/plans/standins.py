@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators.clean import Bound
+from lakemart.operators.skew import skew_left_join
 from lakemart.session import table
 
 # ---- fixed values: code lists of the original taxi dimensions -------------
@@ -62,22 +63,31 @@ def _code_case(col: str, mapping: dict[str, int]):
     return expr
 
 
-def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: columns of the lineitem trips that come from a join on a unique key
+ZONE_COLUMNS = ("pulocationid", "dolocationid")
+
+
+def lineitem_trips(spark: SparkSession, sf_dir: str, zones: tuple[str, ...] = ZONE_COLUMNS) -> DataFrame:
     """Bronze-shaped trips from lineitem ⋈ orders (+ customer / supplier nation).
 
+    ``zones``: joined zone columns to bring; a left join on a unique key that
+    nobody reads is not made.
+
     Join order matters at scale: orders ⋈ customer runs first (the smaller
     side), so the wide lineitem fact is shuffled only twice — by order key,
     then by supplier key — instead of once more by customer key.  None of
     these tables is force-broadcast: they grow with the data, and Spark's
-    size check (planner estimate, then AQE runtime statistics) decides.
+    size check (planner estimate, then AQE runtime statistics) decides; beyond
+    it, suppliers that hold a large share of the line items are joined apart.
     """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    oc = o.join(c, o.o_custkey == c.c_custkey, "left")
-    j = (li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
-         .join(s, li.l_suppkey == s.s_suppkey, "left"))
+    oc = o.join(c, o.o_custkey == c.c_custkey, "left") if "pulocationid" in zones else o
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
+    if "dolocationid" in zones:
+        j = skew_left_join(j, s, "l_suppkey", "s_suppkey")
     # Whole-dollar amounts: floor of the same IEEE product in every engine,
     # so sums are exact and averages bit-identical across engines.
     fare = F.floor("l_extendedprice").cast("double")
@@ -92,8 +102,8 @@ def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "R", 2)
          .otherwise(99).alias("ratecodeid"),
         F.when(F.col("l_linestatus") == "O", "Y").otherwise("N").alias("store_and_fwd_flag"),
-        F.col("c_nationkey").cast("bigint").alias("pulocationid"),
-        F.col("s_nationkey").cast("bigint").alias("dolocationid"),
+        *[F.col(c).cast("bigint").alias(name) for name, c in zip(ZONE_COLUMNS, ("c_nationkey", "s_nationkey"), strict=True)
+          if name in zones],
         F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
         fare.alias("fare_amount"),
         F.col("l_tax").alias("extra"),

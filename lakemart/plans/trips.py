@@ -19,8 +19,9 @@ def bounds_for(kind: str) -> dict[str, Bound]:
     return st.LINEITEM_BOUNDS if kind == "lineitem" else TAXI_BOUNDS
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return (st.lineitem_trips if kind == "lineitem" else st.event_trips)(spark, sf_dir)
+def raw_trips(spark: SparkSession, sf_dir: str, kind: str, zones: tuple[str, ...] = st.ZONE_COLUMNS) -> DataFrame:
+    """The bronze trips; ``zones``: which of the joined zone columns are wanted."""
+    return st.lineitem_trips(spark, sf_dir, zones) if kind == "lineitem" else st.event_trips(spark, sf_dir)
 
 
 def dims(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
@@ -41,6 +42,16 @@ def clean(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return lake.clean_trips(raw_trips(spark, sf_dir, kind), bounds_for(kind))
 
 
+def facts(spark: SparkSession, sf_dir: str, kind: str, needs: tuple[str, ...]) -> DataFrame:
+    """The cleaned trips with only the joins that the columns ``needs`` ask for."""
+    role = {"pulocationid": "pickup", "dolocationid": "dropoff"}
+    zones = tuple(c for c in st.ZONE_COLUMNS if c in needs or any(n.startswith(f"{role[c]}_") for n in needs))
+    trips = lake.clean_trips(raw_trips(spark, sf_dir, kind, zones), bounds_for(kind))
+    if any(n in columns for n in needs for columns in lake.DIMENSION_COLUMNS.values()):
+        return lake.enrich_trips(trips, **dims(spark, sf_dir, kind), columns=needs)
+    return trips
+
+
 def eda(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return lake.eda(raw_trips(spark, sf_dir, kind), bounds_for(kind), **dims(spark, sf_dir, kind))
 

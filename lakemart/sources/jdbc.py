@@ -10,6 +10,8 @@ create-table options have an effect.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +101,15 @@ def write_jdbc(df: DataFrame, table: str, conn: dict[str, str], mode: str = "app
     df.write.format("jdbc").options(**write_options(table, conn, **options)).mode(mode).save()
 
 
+def extract(mart: DataFrame, condition: str, columns: list[str], sink: Callable[[DataFrame], None],
+            partitions: int | None = None) -> None:
+    """The rows of a mart that meet a SQL condition, projected and handed to a sink
+    (``lambda d: write_jdbc(d, table, conn, batchsize=10000)``, or any other writer).
+    ``partitions`` bounds the connections that a database sink opens at once."""
+    out = mart.filter(condition).select(*columns)
+    sink(out.coalesce(partitions) if partitions else out)
+
+
 def clickhouse_table_options(order_by: str, engine: str = "MergeTree()") -> dict[str, str]:
     """Engine clause for tables Spark creates in ClickHouse."""
     return {"createTableOptions": f"ENGINE = {engine} ORDER BY {order_by}"}

@@ -7,11 +7,13 @@ few use the legacy key names, as real topics do.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lakemart.plans import standins as st
 from lakemart.plans.registry import query
 from lakemart.session import scratch_path, table
+from lakemart.streaming import commits, progress
 from lakemart.streaming import stream as ss
 
 MALFORMED_EVERY = 97
@@ -95,12 +97,72 @@ def stream_enrich(spark, sf):
     rows = topic_rows(spark, sf)
     rows.write.parquet(src)
     stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src))
-    decoded = ss.decode(stream)
     ev, gr = _dims(spark)
-    q = (ss.enrich(decoded, ev, gr).writeStream.outputMode("append")
-         .option("checkpointLocation", ckpt).foreachBatch(ss.idempotent_sink(out))
-         .trigger(availableNow=True).start())
+    q = ss.start_enrich_stream(spark, stream, ev, gr, out, ckpt)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out).drop("batch_id")
+
+
+@query("stream_restart", sql=f"""
+SELECT e.*, 'user_events' AS topic, CAST(e.offset % 3 AS INTEGER) AS partition FROM ({ENRICHED_SQL}) e""")
+def stream_restart(spark, sf):
+    """A stream that is stopped, goes on from its checkpoint, and then starts
+    over with a fresh one, reading everything again: each message is stored once."""
+    src, out = scratch_path(spark, "restart-topic"), scratch_path(spark, "restart-out")
+    rows = topic_rows(spark, sf)
+    ev, gr = _dims(spark)
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(src)
+        sink = commits.ledgered_sink(out, lambda b: ss.enrich(ss.decode(b, keep=("topic", "partition")), ev, gr))
+        q = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    first, fresh = scratch_path(spark, "restart-ckpt"), scratch_path(spark, "restart-ckpt")
+    rows.filter("offset % 5 < 2").write.parquet(src)
+    run(first)
+    rows.filter("offset % 5 = 2").write.mode("append").parquet(src)
+    run(first)
+    rows.filter("offset % 5 > 2").write.mode("append").parquet(src)
+    run(fresh)
+    return commits.read_committed(spark, out)
+
+
+@query("stream_progress", sql=f"""
+SELECT 1 AS run, count(*) AS rows, 'terminated' AS state, false AS behind, false AS has_exception FROM events
+WHERE event_id % {MALFORMED_EVERY} <> 0
+UNION ALL SELECT 2, 0, 'failed', true, true
+UNION ALL SELECT 3, count(*), 'terminated', false, false FROM events WHERE event_id % {MALFORMED_EVERY} = 0""")
+def stream_progress(spark, sf):
+    """A listener's report of three runs of one stream: good messages; malformed
+    ones, on which a strict parser ends the query; the same again, parsed leniently."""
+    src, out, ckpt = (scratch_path(spark, f"progress-{n}") for n in ("topic", "out", "ckpt"))
+    rows = topic_rows(spark, sf)
+    bad = F.col("offset") % MALFORMED_EVERY == 0
+
+    def newest(description):
+        # one file a trigger: the source's offset is the number of the last file read
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(src).select("path").count()
+        return {"logOffset": listed - 1}
+
+    runs = []
+    log = progress.ProgressLog(spark, scratch_path(spark, "progress-log"), latest=newest)
+    with log:
+        for part, mode in ((rows.filter(~bad), "FAILFAST"), (rows.filter(bad), "FAILFAST"), (None, "PERMISSIVE")):
+            if part is not None:
+                part.hint("rebalance").write.mode("append").parquet(src)
+            stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+            q = (ss.decode(stream, mode=mode).writeStream.option("checkpointLocation", ckpt)
+                 .foreachBatch(ss.idempotent_sink(out)).trigger(availableNow=True).start())
+            try:
+                q.awaitTermination()
+            except StreamingQueryException:
+                pass                            # the report says what happened
+            log.wait(q.runId)
+            runs.append(q.runId)
+    report = progress.run_report(log.table())
+    number = F.array_position(F.lit(runs), F.col("run_id")).cast("int")
+    return report.select(number.alias("run"), "rows", "state", (F.col("lag") > 0).alias("behind"),
+                         F.col("exception").isNotNull().alias("has_exception"))

@@ -40,18 +40,20 @@ def to_kafka_rows(df: DataFrame, key_col: str, topic: str = "events") -> DataFra
                      F.col(key_col).cast("bigint").alias("offset"))
 
 
-def decode(kafka: DataFrame, schema: str = EVENT_SCHEMA) -> DataFrame:
+def decode(kafka: DataFrame, schema: str = EVENT_SCHEMA, mode: str = "PERMISSIVE", keep: tuple[str, ...] = ()) -> DataFrame:
     """CAST(value AS STRING) -> from_json -> typed columns.
 
-    Malformed JSON gives an all-NULL struct (PERMISSIVE); legacy key names
-    (``event``/``group``) are accepted as fallbacks for ``event_id``/``group_id``.
+    Malformed JSON gives an all-NULL struct (PERMISSIVE) or ends the query
+    (``mode="FAILFAST"``); legacy key names (``event``/``group``) are accepted as
+    fallbacks for ``event_id``/``group_id``.  ``keep``: further record columns
+    to pass on (topic, partition).
     """
     legacy = schema + ", event INT, `group` INT"
     raw = kafka.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS json",
                            "topic", "partition", "offset")
-    data = raw.withColumn("data", F.from_json("json", legacy))
+    data = raw.withColumn("data", F.from_json("json", legacy, {"mode": mode}))
     return data.select(
-        "key", "offset",
+        "key", "offset", *keep,
         F.col("data.id").alias("id"),
         F.col("data.date").try_cast("date").alias("date"),
         F.col("data.event_date").try_cast("timestamp_ntz").alias("event_date"),
@@ -63,14 +65,14 @@ def decode(kafka: DataFrame, schema: str = EVENT_SCHEMA) -> DataFrame:
 
 
 def enrich(events: DataFrame, event_dim: DataFrame, group_dim: DataFrame) -> DataFrame:
-    """L4/F11j: two left stream-static joins; dims are code lists (broadcast).
+    """L4/F11j: two left stream-static joins, each id and its name side by side.
 
-    Keeps id and name side by side, so no column is ambiguous.
+    The dimensions are the caller's tables: Spark's size check decides whether a
+    side is broadcast (a code list is far below its threshold).
     """
-    return (events.join(F.broadcast(event_dim), "event_id", "left")
-            .join(F.broadcast(group_dim), "group_id", "left")
-            .select("key", "offset", "id", "date", "event_date", "event_id", "event_name",
-                    "username", "group_id", "group_name", "value"))
+    named = ["key", "offset", "id", "date", "event_date", "event_id", "event_name", "username", "group_id", "group_name", "value"]
+    return (events.join(event_dim, "event_id", "left").join(group_dim, "group_id", "left")
+            .select(*named, *[c for c in events.columns if c not in named]))
 
 
 def idempotent_sink(target_root: str):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -67,3 +68,35 @@ def time_travel(spark, sf):
     """K7: VERSION AS OF 2 sees both appends, not the later overwrite."""
     v2 = _snapshots(spark, sf).read(2)
     return v2.groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("snapshot_two_writers", sql="""
+SELECT o_orderstatus, count(*) AS orders, 2::BIGINT AS versions FROM orders GROUP BY ALL""")
+def snapshot_two_writers(spark, sf):
+    """K6/K7: two writers commit at the same time; each takes a version of its own
+    and the table holds the rows of both."""
+    t = cat.SnapshotTable(spark, scratch_path(spark, "two-writers"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    halves = [o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 2 <> 0")]
+    with ThreadPoolExecutor(2) as pool:
+        versions = sorted(pool.map(t.commit, halves))
+    return t.read().groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"),
+                                                 F.lit(len(set(versions))).cast("long").alias("versions"))
+
+
+@query("catalog_insert_values", sql="""
+SELECT CAST(r_regionkey AS BIGINT) AS code, r_name AS name, 'region' AS kind FROM region
+UNION ALL SELECT -1::BIGINT, 'O''Neill \\ sons', NULL""")
+def catalog_insert_values(spark, sf):
+    """K2/K4/K5: INSERT ... VALUES with the load time, into a table of a namespace that
+    SHOW NAMESPACES lists; the rows are the region table's (five by definition) and an odd one."""
+    ns = "lakemart_values"
+    cat.create_namespace(spark, ns, scratch_path(spark, "namespace"))
+    name = f"{ns}.codes_{uuid.uuid4().hex[:8]}"
+    cat.create_table(spark, name, "code BIGINT, name STRING, kind STRING, loaded_at TIMESTAMP",
+                     location=scratch_path(spark, "table"))
+    regions = table(spark, sf, "region").select("r_regionkey", "r_name").collect()
+    cat.insert_values(spark, name, [(r[0], r[1], "region") for r in regions] + [(-1, "O'Neill \\ sons", None)])
+    listed = cat.show_namespaces(spark).filter(F.col("namespace") == ns)
+    return spark.table(name).filter("loaded_at IS NOT NULL").join(
+        listed.select(F.col("namespace").alias("__ns")), F.lit(ns) == F.col("__ns"), "left_semi").select("code", "name", "kind")

@@ -58,8 +58,8 @@ def json_object_rows(text: DataFrame, value_schema: str, key_name: str = "key")
     ``value`` is read with ``wholetext=True``; ``from_json`` with a
     ``map<string, struct>`` schema turns missing fields into NULL (never into
     a placeholder) and ``explode`` yields (key, value) rows.  Each file is one
-    task, so producers of such objects should keep files bounded (the
-    catalogue writer here puts at most 50 objects in a file).
+    task, so producers of such objects should bound their files in bytes
+    (``sources.files.pack_by_bytes``).
     """
     parsed = text.select(F.explode(F.from_json("value", f"map<string, {value_schema}>")).alias(key_name, "v"))
     return parsed.select(key_name, "v.*")
@@ -134,11 +134,11 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
     """J6 over JSON of *any* shape: ``$..key`` with the VARIANT type.
 
     Documents are parsed once (``parse_json``) and walked one level per round
-    with the ``variant_explode`` table function: scalar values whose key
-    matches are kept, objects and arrays go to the next round.  Each round's
-    frontier is checkpointed to shared storage, so lineage stays one level
-    deep and a lost executor recomputes one round.  Rounds end with the
-    documents' nesting depth.  All the work is distributed — nothing is
+    with the ``variant_explode`` table function.  A round writes its level once
+    to shared storage (a checkpoint: a lost executor recomputes one round), each
+    row tagged: ``found`` holds a scalar whose key matches, ``open`` an object or
+    array for the next round; both are then read from there.  Rounds end with
+    the documents' nesting depth.  All the work is distributed — nothing is
     collected.
     """
     import uuid
@@ -146,21 +146,25 @@ def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str,
     from lakemart.session import checkpoint_root
     checkpoint_root(spark)
     ids = ", ".join(f"`{c}`" for c in id_cols)
-    frontier = df.select(*id_cols, F.parse_json(json_col).alias("v"))
-    found = []
+    frontier = df.select(*id_cols, F.parse_json(json_col).alias("open"))
+    parts = []
     while True:
         view = f"lakemart_variant_{uuid.uuid4().hex[:12]}"
         frontier.createOrReplaceTempView(view)
         level = spark.sql(f"SELECT {ids}, e.key AS k, e.value AS v "
-                          f"FROM {view}, LATERAL variant_explode(v) AS e")
+                          f"FROM {view}, LATERAL variant_explode(open) AS e")
         kind = F.schema_of_variant("v")
         container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        found.append(level.filter((F.col("k") == key) & ~container)
-                     .select(*id_cols, F.try_variant_get("v", "$", "double").alias(key)))
-        frontier = level.filter(container).select(*id_cols, "v").checkpoint(eager=True)
+        tagged = level.select(
+            *id_cols, F.when(container, F.col("v")).alias("open"),
+            F.when((F.col("k") == key) & ~container, F.try_variant_get("v", "$", "double")).alias("found"))
+        tagged = tagged.filter(F.col("open").isNotNull() | F.col("found").isNotNull()).checkpoint(eager=True)
+        spark.catalog.dropTempView(view)
+        parts.append(tagged.filter(F.col("found").isNotNull()).select(*id_cols, F.col("found").alias(key)))
+        frontier = tagged.filter(F.col("open").isNotNull()).select(*id_cols, "open")
         if frontier.isEmpty():
             break
-    out = found[0]
-    for part in found[1:]:
+    out = parts[0]
+    for part in parts[1:]:
         out = out.unionByName(part)
-    return out.filter(F.col(key).isNotNull())
+    return out

@@ -16,6 +16,7 @@ from lakemart.functions import nested as nx
 from lakemart.operators import clean as cl
 from lakemart.plans.registry import query
 from lakemart.session import scratch_path, table
+from lakemart.sources import files as fs
 
 CHAT_CHUNK = 64
 CHAT_SCHEMA = ("chats STRUCT<list: ARRAY<STRUCT<id: BIGINT, name: STRING, type: STRING, "
@@ -23,9 +24,10 @@ CHAT_SCHEMA = ("chats STRUCT<list: ARRAY<STRUCT<id: BIGINT, name: STRING, type:
                "text: STRING, type: STRING>>>>>")
 
 
-def write_chat_export(spark, sf) -> str:
-    """Chat-export documents (one multi-line JSON file each) from conversations."""
-    c = table(spark, sf, "conversations")
+def write_chat_export(spark, sf, target: int = fs.PACK_BYTES) -> str:
+    """Chat-export documents in multi-line JSON files of about ``target`` bytes, from conversations."""
+    c = table(spark, sf, "conversations").withColumn("chunk", (F.col("turn") / CHAT_CHUNK).cast("bigint"))
+    c = fs.pack_by_bytes(c, F.coalesce(F.octet_length("text"), F.lit(0)) + 200, ["conv_id", "chunk"], target)
     # As in real exports, some messages carry their text as an array of
     # pieces (split after ". ", so the pieces join back to the original).
     pieces = F.parse_json(F.to_json(F.split("text", r"(?<=\. )")))
@@ -35,22 +37,20 @@ def write_chat_export(spark, sf) -> str:
                    F.col("role").alias("from"),
                    F.concat(F.col("role"), F.lit("_"), F.col("conv_id").cast("string")).alias("from_id"),
                    text.alias("text"), F.lit("message").alias("type"))
-    chunks = c.groupBy("conv_id", (F.col("turn") / CHAT_CHUNK).cast("bigint").alias("chunk")).agg(
-        F.collect_list(msg).alias("messages"))
+    chunks = c.groupBy("pack", "conv_id", "chunk").agg(F.collect_list(msg).alias("messages"))
     chat = F.struct(F.col("conv_id").alias("id"),
                     F.concat(F.lit("chat_"), F.col("conv_id").cast("string")).alias("name"),
                     F.lit("personal_chat").alias("type"), F.col("messages"))
-    doc = chunks.select(F.to_json(F.struct(F.struct(F.array(chat).alias("list")).alias("chats")),
-                                  {"pretty": "true"}).alias("value"))
+    doc = chunks.select("pack", F.to_json(F.struct(F.struct(F.array(chat).alias("list")).alias("chats")),
+                                          {"pretty": "true"}).alias("value"))
     path = scratch_path(spark, "chat-export")
-    doc.write.option("maxRecordsPerFile", 1).text(path)
+    fs.write_json_arrays(doc, path)
     return path
 
 
 def read_chats(spark, path: str):
-    """Multi-line JSON documents (one per file), UTF-8, explicit schema."""
-    return (spark.read.schema(CHAT_SCHEMA).option("multiLine", "true").option("encoding", "UTF-8")
-            .json(path))
+    """Multi-line JSON documents (a top-level array per file), UTF-8, explicit schema."""
+    return fs.read_json_documents(spark, path, CHAT_SCHEMA)
 
 
 CHAT_SQL = """SELECT conv_id AS chat_id, 'chat_' || conv_id AS chat_name, 'personal_chat' AS chat_type,
@@ -77,12 +77,10 @@ def chat_text_count(spark, sf):
 
 APP_SCHEMA = ("STRUCT<name: STRING, release_date: STRING, required_age: INT, price: DOUBLE, "
               "developers: ARRAY<STRING>, genres: ARRAY<STRING>>")
-APPS_PER_FILE = 50
-
-
-def write_game_catalogue(spark, sf) -> str:
-    """Whole-file JSON objects keyed by app id (<= 50 apps per file) from part."""
-    p = table(spark, sf, "part")
+def write_game_catalogue(spark, sf, target: int = fs.PACK_BYTES) -> str:
+    """Whole-file JSON objects keyed by app id, about ``target`` bytes each, from part."""
+    p = fs.pack_by_bytes(table(spark, sf, "part"), F.octet_length("p_name") + F.octet_length("p_type") + 150, ["p_partkey"],
+                         target)
     day = F.date_add(F.to_date(F.lit("2020-01-01")), (F.col("p_partkey") % 1000).cast("int"))
     release = (F.when(F.col("p_partkey") % 3 == 0, F.date_format(day, "MMM d, yyyy"))
                .when(F.col("p_partkey") % 3 == 1, F.date_format(day, "MMM yyyy"))
@@ -94,7 +92,7 @@ def write_game_catalogue(spark, sf) -> str:
     app = F.struct(F.col("p_name").alias("name"), release.alias("release_date"),
                    (F.col("p_size") % 18).alias("required_age"), price.alias("price"),
                    devs.alias("developers"), F.split("p_type", " ").alias("genres"))
-    files = p.groupBy((F.col("p_partkey") / APPS_PER_FILE).cast("bigint").alias("f")).agg(
+    files = p.groupBy("pack").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("p_partkey").cast("string"), app))).alias("m"))
     path = scratch_path(spark, "games")
     files.select(F.to_json("m").alias("value")).write.option("maxRecordsPerFile", 1).text(path)

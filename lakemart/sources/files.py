@@ -7,8 +7,9 @@ options, so every read stays a lazy scan that Catalyst can prune and filter.
 from __future__ import annotations
 
 import json
+import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,10 +87,39 @@ def read_json_lines(spark: SparkSession, path, schema=None, **options) -> DataFr
     return r.options(**options).json(path)
 
 
+PACK_BYTES = 32 << 20       # what one task parses of an unsplittable file
+
+
+def pack_by_bytes(df: DataFrame, size: Column, keys: list[str], target: int = PACK_BYTES) -> DataFrame:
+    """``df`` with ``pack``: rows dealt by hash of ``keys`` to as many packs as their
+    bytes ask for, about ``target`` each.  Files that a task must read whole
+    (multi-line JSON) then follow the data's bytes, not its number of records.
+
+    ``size``: estimated bytes of a row; summed by one cheap aggregate of the input.
+    """
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return df.withColumn("pack", F.pmod(F.xxhash64(*keys), F.lit(max(1, math.ceil(total / target)))))
+
+
+def write_json_arrays(docs: DataFrame, path: str, value: str = "value", pack: str = "pack") -> None:
+    """One file per ``pack``: a top-level JSON array of its documents, which a
+    multi-line scan reads back as one row per document."""
+    arrays = docs.groupBy(pack).agg(F.array_join(F.collect_list(value), ",\n").alias("body"))
+    (arrays.select(F.concat(F.lit("["), "body", F.lit("]")).alias("value"))
+     .write.option("maxRecordsPerFile", 1).text(path))
+
+
+def spread(df: DataFrame, partitions: int | None = None, *keys: str) -> DataFrame:
+    """Repartition by number, by keys, or by both."""
+    if partitions is None and not keys:
+        raise ValueError("give a number of partitions, keys, or both")
+    return df.repartition(*([partitions] if partitions else []), *keys)
+
+
 def read_json_documents(spark: SparkSession, path, schema=None, encoding: str = "UTF-8") -> DataFrame:
-    """One (multi-line) JSON document per file.  A file is not splittable
-    and is parsed by one task, so documents should be bounded in size (the
-    chat export writes at most 64 messages per document, one per file)."""
+    """Multi-line JSON, one document per file or a top-level array of them.
+    A file is not splittable and is parsed by one task, so writers should
+    bound files in bytes (``pack_by_bytes``, ``write_json_arrays``)."""
     r = spark.read.option("multiLine", "true").option("encoding", encoding)
     if schema is not None:
         r = r.schema(schema)

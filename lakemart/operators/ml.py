@@ -9,19 +9,23 @@ column's ``ml_attr`` metadata, so one-hot expanded features line up.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+import math
+
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions import features as fx
-from lakemart.operators.profile import numeric_columns
+from lakemart.operators.profile import exact_quantiles_multi, numeric_columns
 
 
 def feature_columns(df: DataFrame, label: str, exclude: tuple = ()) -> list[str]:
@@ -57,6 +61,45 @@ def median_imputer(cols: list[str], relative_error: float = 0.001) -> Imputer:
                    relativeError=relative_error)
 
 
+class ExactMedianModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """M5: fills NULL and NaN with the medians found by ``ExactMedianImputer``."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "columns to fill", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "filled columns", TypeConverters.toListString)
+    medians = Param(Params._dummy(), "medians", "one median per column (NaN: no value seen)", TypeConverters.toListFloat)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        def filled(name: str, median: float):
+            value = F.col(name).cast("double")
+            # a column without any value stays as it is
+            other = F.lit(None).cast("double") if math.isnan(median) else F.lit(median)
+            return F.when(value.isNull() | F.isnan(value), other).otherwise(value)
+        names = zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols), self.getOrDefault(self.medians),
+                    strict=True)
+        return dataset.withColumns({out: filled(c, m) for c, out, m in names})
+
+
+class ExactMedianImputer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """M5: an estimator whose model holds exact medians (linear interpolation between
+    the two middle values), found by the refinement rounds of ``exact_quantiles_multi``:
+    no task ranks an unbounded set of values."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "columns to fill", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "filled columns", TypeConverters.toListString)
+
+    def __init__(self, inputCols: list[str] | None = None, outputCols: list[str] | None = None):
+        super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols), outputCols=list(outputCols or [f"{c}_imputed" for c in inputCols]))
+
+    def _fit(self, dataset: DataFrame) -> ExactMedianModel:
+        cols = self.getOrDefault(self.inputCols)
+        found = exact_quantiles_multi(dataset, cols, [0.5])
+        model = ExactMedianModel()
+        return model._set(inputCols=cols, outputCols=self.getOrDefault(self.outputCols),
+                          medians=[math.nan if found[c][0] is None else found[c][0] for c in cols])
+
+
 def build_pipeline(categorical: list[str], numeric: list[str], model) -> Pipeline:
     """M6: index -> one-hot -> assemble -> model."""
     stages = indexers(categorical)
@@ -119,6 +162,24 @@ def kmeans(k: int = 5, seed: int = 42, features: str = "features"):
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster")
 
 
+def cluster_centres(spark: SparkSession, model, columns: list[str], scaling=None) -> DataFrame:
+    """(cluster, feature, centre) of a fitted k-means; with the fitted ``scaling``
+    (StandardScalerModel) its input went through, in the features' own units."""
+    rows = []
+    for k, centre in enumerate(model.clusterCenters()):
+        for i, c in enumerate(columns):
+            value = float(centre[i])
+            if scaling is not None:
+                value = value * (scaling.std[i] if scaling.getWithStd() else 1.0) + (scaling.mean[i] if scaling.getWithMean() else 0.0)
+            rows.append((k, c, float(value)))
+    return spark.createDataFrame(rows, "cluster int, feature string, centre double")
+
+
+def prediction_sample(pred: DataFrame, columns: list[str], order: list[str], n: int = 20) -> DataFrame:
+    """The first ``n`` predictions by ``order``, to look at."""
+    return pred.select(*columns).orderBy(*order).limit(n)
+
+
 # ---- evaluation -------------------------------------------------------------
 
 def binary_metrics(pred: DataFrame, label: str = "label") -> dict:

@@ -28,6 +28,17 @@ def labeled(spark, sf):
                     fx.flag((F.col("toxic") == 0) & (F.col("n_chars") >= 500)).alias("prediction"))
 
 
+PRED_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS actual,
+  l_quantity * 1500.0 AS prediction FROM lineitem"""
+
+
+def predictions(spark, sf):
+    """A baseline price model: quantity times a fixed unit price."""
+    li = table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     F.col("l_extendedprice").alias("actual"), (F.col("l_quantity") * 1500.0).alias("prediction"))
+
+
 @query("string_index", sql="""
 SELECT p_type, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS DOUBLE) AS p_type_idx
 FROM part GROUP BY p_type""")
@@ -67,6 +78,54 @@ def impute_median(spark, sf):
     return out.select("doc_id", "quality_imputed", "toxic_imputed")
 
 
+@query("impute_median_exact", rnd=("price_imputed", "quantity_imputed"), sql="""
+WITH j AS (SELECT l_orderkey, l_linenumber, l_partkey,
+             CASE WHEN l_orderkey % 5 <> 0 THEN l_extendedprice END AS price,
+             CASE WHEN l_linenumber <> 2 THEN l_quantity * 1.5 END AS quantity FROM lineitem),
+m AS (SELECT quantile_cont(price, 0.5) AS mp, quantile_cont(quantity, 0.5) AS mq FROM j)
+SELECT l_orderkey, l_linenumber, l_partkey, coalesce(price, mp) AS price_imputed, coalesce(quantity, mq) AS quantity_imputed
+FROM j CROSS JOIN m""")
+def impute_median_exact(spark, sf):
+    """M5/M6: the exact median imputer as a stage of a pipeline, on columns of many values;
+    some prices are missing as NULL, some quantities as NaN."""
+    li = table(spark, sf, "lineitem")
+    j = li.select("l_orderkey", "l_linenumber", "l_partkey",
+                  F.when(F.col("l_orderkey") % 5 != 0, F.col("l_extendedprice")).alias("price"),
+                  F.when(F.col("l_linenumber") == 2, F.lit(float("nan"))).otherwise(F.col("l_quantity") * 1.5).alias("quantity"))
+    model = ml.Pipeline(stages=[ml.ExactMedianImputer(["price", "quantity"])]).fit(j)
+    return model.transform(j).drop("price", "quantity")
+
+
+@query("prediction_sample", sql=f"""
+SELECT l_orderkey, l_linenumber, actual, prediction FROM ({PRED_SQL}) WHERE l_linenumber = 1
+ORDER BY l_orderkey, l_partkey, l_suppkey LIMIT 20""")
+def prediction_sample(spark, sf):
+    """The first 20 predictions by key."""
+    p = predictions(spark, sf).filter("l_linenumber = 1")
+    return ml.prediction_sample(p, ["l_orderkey", "l_linenumber", "actual", "prediction"],
+                                ["l_orderkey", "l_partkey", "l_suppkey"])
+
+
+@query("cluster_centres")
+def cluster_centres(spark, sf):
+    """M14 (rows-only): centres of the k-means on trip features, in the features' own units."""
+    names = ["trip_distance", "trip_duration_minutes", "total_amount"]
+    vec = ml.assembler(names).transform(tp.facts(spark, sf, "events", ()).select(*names))
+    scaling = ml.scaler("features", "scaled").fit(vec)
+    model = ml.kmeans(5, 42, "scaled").fit(scaling.transform(vec))
+    return ml.cluster_centres(spark, model, names, scaling)
+
+
+@query("gbt_class_metrics")
+def gbt_class_metrics(spark, sf):
+    """M11/M15/M16/M19 (rows-only): gradient-boosted classifier at the reference's size on a
+    70/30 split, with its metrics."""
+    data = labeled(spark, sf).drop("prediction").withColumn("label", F.col("label").cast("double"))
+    train, test = ml.random_split(data, 0.7, 42)
+    pred = ml.build_pipeline(["lang"], ["n_chars", "toxic"], ml.gbt_classifier("label")).fit(train).transform(test)
+    return ml.metric_table(spark, "gbt", {**ml.binary_metrics(pred), **ml.multiclass_metrics(pred)})
+
+
 @query("hash_split", sql=f"""
 SELECT label, CASE WHEN ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 4))::INTEGER % 100 < 70
                    THEN 'train' ELSE 'test' END AS split, count(*) AS n
@@ -110,17 +169,6 @@ def class_metrics(spark, sf):
     return ml.class_metrics(labeled(spark, sf))
 
 
-PRED_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS actual,
-  l_quantity * 1500.0 AS prediction FROM lineitem"""
-
-
-def predictions(spark, sf):
-    """A baseline price model: quantity times a fixed unit price."""
-    li = table(spark, sf, "lineitem")
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                     F.col("l_extendedprice").alias("actual"), (F.col("l_quantity") * 1500.0).alias("prediction"))
-
-
 @query("regression_metrics", rnd=(("rmse", 4), ("mse", 1), ("mae", 4), "r2", "mape"), sql=f"""
 WITH p AS ({PRED_SQL})
 SELECT sqrt(sum((prediction - actual) * (prediction - actual)) / count(*)) AS rmse,

@@ -14,7 +14,7 @@ The strings for one bucket are packed and compressed together.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,9 @@ from lakemart.llm.common import WordHashes, buckets_for, mix64, pack, sliding_mi
 
 WINDOW, GRAM = 13, 2
 LONG = (4,)                  # mean word lengths that bound the classes of the order
-RUN_WORDS = 1_000_000       # words whose strings are pre-aggregated together
+RUN_WORDS = 500_000         # words whose strings are pre-aggregated together
+HELD_WORDS = 250_000        # word hashes that a task remembers
+CHUNK_BYTES = 1 << 20       # bytes hashed at once
 
 PARCEL = "bucket int, doc_id long, h long, data binary"
 
@@ -53,62 +55,111 @@ def _super_kmers(hashes: np.ndarray, lengths: np.ndarray, ends: np.ndarray, wind
     return low[at], at, count, doc[at]
 
 
+#: Base of the rolling hashes (odd, so it has an inverse modulo 2**64), and a number for each byte.
+BASE = 0x9E3779B97F4A7C15
+BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, np.uint64)
+_POWERS: list[np.ndarray] = [np.empty(0, np.uint64)] * 2
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """BASE**i and BASE**-i for i < ``n``, modulo 2**64; kept up to two chunks' length."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 2 * CHUNK_BYTES)
+        tables = []
+        for factor in (BASE, pow(BASE, -1, 1 << 64)):
+            t = np.full(size, factor, np.uint64)
+            t[0] = 1
+            tables.append(np.multiply.accumulate(t))
+        if size > 2 * CHUNK_BYTES:
+            return tables
+        _POWERS[:] = tables
+    return [p[:n] for p in _POWERS]
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``values[s:e]``; equal ranges have equal hashes wherever they lie."""
+    with np.errstate(over="ignore"):
+        power, inverse = _powers(len(values) + 1)
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * power[:-1], out=total[1:])
+        return mix64((total[ends] - total[starts]) * inverse[starts])
+
+
+def _equal_runs(key: np.ndarray, at: Callable[[int], bytes]) -> Iterator[np.ndarray]:
+    """Groups (of two or more) of positions whose bytes ``at`` are equal: those of
+    equal keys, compared byte by byte."""
+    order = np.argsort(key, kind="stable")
+    cuts = np.flatnonzero(np.diff(key[order])) + 1
+    starts, ends = np.r_[0, cuts], np.r_[cuts, len(order)]
+    for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+        group = order[s:e]
+        first = at(int(group[0]))
+        same = [at(i) == first for i in group[1:].tolist()]
+        if all(same):
+            yield group
+        else:                           # a collision of hashes: told apart by the bytes themselves
+            apart: dict[bytes, list[int]] = {}
+            for i in group.tolist():
+                apart.setdefault(at(i), []).append(i)
+            yield from (np.array(g) for g in apart.values() if len(g) > 1)
+
+
 class _Run:
     """Documents whose windows are cut and pre-aggregated together."""
 
     def __init__(self, buckets: int, window: int, gram: int):
         self.buckets, self.window, self.gram = buckets, window, gram
-        self.hash = WordHashes()
+        self.hash = WordHashes(bound=HELD_WORDS)
         self.clear()
 
     def clear(self):
-        self.words, self.hashes, self.ends, self.ids = [], [], [], []
+        self.texts, self.hashes, self.lengths, self.ends, self.ids, self.n_words = [], [], [], [], [], 0
 
     def add(self, doc_id: int, h: int, text: bytes):
         words = text.split()
         if doc_id is not None and len(words) >= self.window:
-            self.words += words
+            self.texts.append(b" ".join(words))
             self.hashes.append(self.hash.array(words))
-            self.ends.append(len(self.words))
+            self.lengths.append(np.fromiter(map(len, words), np.int64, len(words)))
+            self.n_words += len(words)
+            self.ends.append(self.n_words)
             self.ids.append((doc_id, h))
 
     def parcels(self) -> Iterator[tuple]:
         """Rows (bucket, doc_id, h, data): spans known here, then packed strings."""
         if not self.ids:
             return
-        ends = np.array(self.ends, np.int64)
-        anchor, at, count, doc = _super_kmers(
-            np.concatenate(self.hashes), np.fromiter(map(len, self.words), np.int64, len(self.words)),
-            ends, self.window, self.gram)
-        words, reach = self.words, self.window - 1
-        ids = [self.ids[d][0] for d in doc]
-        strings: dict[bytes, list[int]] = {}
-        for i, (a, c) in enumerate(zip(at.tolist(), count.tolist(), strict=True)):
-            strings.setdefault(b" ".join(words[a:a + c + reach]), []).append(i)
-        local: dict[int, list[tuple[int, int]]] = {}
-        sent: list[tuple[int, bytes]] = []
-        for string, rows in strings.items():
-            low = min(ids[i] for i in rows)
-            for i in rows:
-                if ids[i] > low:
-                    local.setdefault(int(doc[i]), []).append((at[i], at[i] + count[i] + reach))
-                else:
-                    sent.append((i, string))
+        ends, reach = np.array(self.ends, np.int64), self.window - 1
+        hashes, lengths, text = np.concatenate(self.hashes), np.concatenate(self.lengths), b" ".join(self.texts)
+        keys = np.array(self.ids, np.int64)
+        self.clear()
+        anchor, at, count, doc = _super_kmers(hashes, lengths, ends, self.window, self.gram)
+        # a string lies between the first byte of its first and the last byte of its last word
+        after = np.cumsum(lengths + 1)
+        begin_byte, end_byte = (after - lengths - 1)[at], after[at + count + reach - 1] - 1
+        span = list(zip(begin_byte.tolist(), end_byte.tolist(), strict=True))
+        ids = keys[doc, 0]
+        keep = np.ones(len(at), bool)
+        for group in _equal_runs(range_hashes(hashes, at, at + count + reach), lambda i: text[span[i][0]:span[i][1]]):
+            # of equal strings only those of the smallest document travel; the others repeat it
+            keep[group[ids[group] > ids[group].min()]] = False
+        del hashes, lengths, after
         begin = np.r_[0, ends[:-1]]
-        for d, pairs in local.items():
-            s, e = spans.merged(*(np.array(x, np.int64) - begin[d] for x in zip(*pairs, strict=True)))
-            yield self.ids[d][1] % self.buckets, *self.ids[d], spans.to_blob(s, e)
-        rows = np.array([i for i, _ in sent], np.int64)
+        gone = np.flatnonzero(~keep)
+        for part in np.split(gone, np.flatnonzero(np.diff(doc[gone])) + 1):
+            if len(part):
+                d = doc[part[0]]
+                s, e = spans.merged(at[part] - begin[d], at[part] + count[part] + reach - begin[d])
+                yield int(keys[d, 1]) % self.buckets, *keys[d].tolist(), spans.to_blob(s, e)
+        rows = np.flatnonzero(keep)
         bucket = (anchor[rows] % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        keys = np.array(self.ids, np.int64)
         for part in np.split(order, cuts):
             r = rows[part]
-            texts = [sent[k][1] for k in part]
             yield int(bucket[part[0]]), None, None, pack(
                 (anchor[r] >> np.uint64(16)).astype(np.uint32), keys[doc[r]].T.copy(), at[r] - begin[doc[r]],
-                np.array([len(t) for t in texts], np.int64), b"".join(texts))
+                end_byte[r] - begin_byte[r], b"".join([text[a:b] for a, b in map(span.__getitem__, r.tolist())]))
 
 
 def _parcels(docs: DataFrame, buckets: int, window: int, gram: int, run_words: int) -> DataFrame:
@@ -117,7 +168,6 @@ def _parcels(docs: DataFrame, buckets: int, window: int, gram: int, run_words: i
 
         def flushed():
             rows = list(run.parcels())
-            run.clear()
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
@@ -127,40 +177,44 @@ def _parcels(docs: DataFrame, buckets: int, window: int, gram: int, run_words: i
         for batch in batches:
             for doc_id, h, text in zip(*batch.columns, strict=True):
                 run.add(doc_id.as_py(), h.as_py(), utf8(text.as_py()))
-                if len(run.words) >= run_words:
+                if run.n_words >= run_words:
                     yield from flushed()
         yield from flushed()
 
     return docs.mapInArrow(of, PARCEL)
 
 
-def _repeats(strings: list[tuple[bytes, int]], window: int) -> list[tuple[int, np.ndarray]]:
-    """For each (string, document) of one minimiser: which of its windows also
-    start in a smaller document.  Windows are sorted; a run's first is the least."""
-    least: dict[bytes, int] = {}
-    for string, doc in strings:
-        least[string] = min(doc, least.get(string, doc))
-    low: dict[bytes, np.ndarray] = {}
-    if len(least) > 1:
-        rows = []
-        for string, doc in least.items():
-            words = string.split(b" ")
-            low[string] = np.full(len(words) - window + 1, doc, np.int64)
-            rows += [(b" ".join(words[i:i + window]), doc, string, i) for i in range(len(words) - window + 1)]
-        rows.sort(key=lambda r: r[:2])
-        seen, doc = None, 0
-        for text, d, string, i in rows:
-            if text != seen:
-                seen, doc = text, d
-            low[string][i] = doc
-    else:
-        for string, doc in least.items():
-            low[string] = np.full(1, doc, np.int64)
-    return [(k, low[string] < doc) for k, (string, doc) in enumerate(strings)]
-
-
-def _bucket_spans(blobs: list[bytes], window: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
-    """(doc_id, h) -> spans of words, from all packed strings of a bucket."""
+def _windows(text: bytes, begin: np.ndarray, size: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """All windows of some strings of ``text``: (string, first word, first byte, end byte, hash).
+
+    Strings are taken in chunks of bounded bytes: a hash doesn't depend on its place."""
+    found = []
+    cut = np.cumsum(size) // CHUNK_BYTES
+    for part in np.split(np.arange(len(begin)), np.flatnonzero(np.diff(cut)) + 1):
+        if not len(part):
+            continue
+        low = np.cumsum(size[part] + 1) - size[part] - 1            # of the strings in the chunk
+        strings = [text[b:e] for b, e in zip(begin[part].tolist(), (begin + size)[part].tolist(), strict=True)]
+        chunk = np.frombuffer(b" ".join([*strings, b""]), np.uint8)
+        word_end = np.flatnonzero(chunk == 32)
+        word = np.r_[0, word_end[:-1] + 1]
+        string = np.searchsorted(low, word, side="right") - 1
+        first = np.searchsorted(word, low)                          # each string's first word
+        n_words = np.diff(np.r_[first, len(word)])
+        at = np.flatnonzero(np.arange(len(word)) - first[string] <= n_words[string] - window)
+        s, e = word[at], word_end[at + window - 1]
+        found.append((part[string[at]], at - first[string[at]], begin[part[string[at]]] + s - low[string[at]],
+                      begin[part[string[at]]] + e - low[string[at]], range_hashes(BYTE[chunk], s, e)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 5
+
+
+def _bucket_spans(blobs: list[bytes], window: int) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """(doc_id, h) -> spans of words, from all packed strings of a bucket.
+
+    Minimisers of one document are left out.  Equal strings are counted once,
+    with the smallest of their documents; their windows are sorted by hash,
+    compared byte by byte where hashes tie, and the least document of equal
+    windows is found."""
     parts = [unpack(b) for b in blobs]
     if not parts:
         return {}
@@ -168,25 +222,52 @@ def _bucket_spans(blobs: list[bytes], window: int) -> dict[tuple[int, int], list
     doc, h = np.concatenate([np.frombuffer(p[1], np.int64).reshape(2, -1) for p in parts], axis=1)
     at = np.concatenate([np.frombuffer(p[2], np.int64) for p in parts])
     size = np.concatenate([np.frombuffer(p[3], np.int64) for p in parts])
-    texts = b"".join(p[4] for p in parts)
+    text = b"".join(p[4] for p in parts)
     del parts
-    end = np.cumsum(size)
+    begin = np.cumsum(size) - size
     order = np.lexsort((doc, anchor))
     group = np.flatnonzero(np.r_[True, anchor[order][1:] != anchor[order][:-1]])
     last = np.r_[group[1:], len(order)]
-    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    mixed = doc[order[group]] != doc[order[last - 1]]       # documents sorted: more than one
-    for a, b in zip(group[mixed].tolist(), last[mixed].tolist(), strict=True):
-        rows = order[a:b]
-        strings = [(texts[end[r] - size[r]:end[r]], int(doc[r])) for r in rows]
-        for k, hit in _repeats(strings, window):
-            if hit.any():
-                r = rows[k]
-                if len(hit) == 1 and hit[0]:        # one string in all documents: all of it
-                    hit = np.ones(strings[k][0].count(b" ") + 2 - window, bool)
-                i = np.flatnonzero(hit) + at[r]
-                s, e = spans.merged(i, i + window)
-                out.setdefault((int(doc[r]), int(h[r])), []).extend(zip(s.tolist(), e.tolist(), strict=True))
+    mixed = doc[order[group]] != doc[order[last - 1]]               # documents sorted: more than one
+    rows = order[np.repeat(mixed, last - group)]
+    del order, group, last, anchor
+    doc, h, at, size, begin = doc[rows], h[rows], at[rows], size[rows], begin[rows]
+    whole = _string_hashes(np.frombuffer(text, np.uint8), begin, size)
+    # equal strings: the smallest document's first row stands for all of them
+    stands, least = np.arange(len(rows)), doc.copy()
+    for same in _equal_runs(whole, lambda i: text[begin[i]:begin[i] + size[i]]):
+        stands[same], least[same] = same[0], doc[same].min()
+    some = np.flatnonzero(stands == np.arange(len(rows)))
+    string, first, s, e, key = _windows(text, begin[some], size[some], window)
+    low = least[some][string]
+    for same in _equal_runs(key, lambda i: text[s[i]:e[i]]):
+        low[same] = low[same].min()
+    # windows of a string, one after the other; copies of a string share them
+    n = np.bincount(string, minlength=len(some))
+    start = np.cumsum(n) - n
+    place = np.empty(len(rows), np.int64)
+    place[some] = np.arange(len(some))
+    place = place[stands]
+    take = np.repeat(start[place] - (np.cumsum(n[place]) - n[place]), n[place]) + np.arange(int(n[place].sum()))
+    row = np.repeat(np.arange(len(rows)), n[place])
+    hit = low[take] < doc[row]
+    row, word = row[hit], at[row[hit]] + first[take[hit]]
+    order = np.lexsort((word, h[row], doc[row]))
+    row, word = row[order], word[order]
+    cuts = np.flatnonzero((np.diff(doc[row]) != 0) | (np.diff(h[row]) != 0)) + 1
+    return {(int(doc[row[k[0]]]), int(h[row[k[0]]])): spans.merged(word[k], word[k] + window)
+            for k in np.split(np.arange(len(row)), cuts) if len(k)}
+
+
+def _string_hashes(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of whole strings, chunk by chunk of the packed text."""
+    out = np.empty(len(begin), np.uint64)
+    order = np.argsort(begin, kind="stable")
+    cut = (begin + size)[order] // CHUNK_BYTES
+    for part in np.split(order, np.flatnonzero(np.diff(cut)) + 1):
+        if len(part):
+            a, b = begin[part[0]], begin[part[-1]] + size[part[-1]]
+            out[part] = range_hashes(BYTE[raw[a:b]], begin[part] - a, begin[part] + size[part] - a)
     return out
 
 
@@ -199,9 +280,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, run_
         ids, hs = table.column("doc_id").to_pylist(), table.column("h").to_pylist()
         rows = [(i, h, d) for i, h, d in zip(ids, hs, data, strict=True) if i is not None]
         found = _bucket_spans([d for i, d in zip(ids, data, strict=True) if i is None], window)
-        for (i, h), pairs in found.items():
-            s, e = spans.merged(*(np.array(x, np.int64) for x in zip(*pairs, strict=True)))
-            rows.append((i, h, spans.to_blob(s, e)))
+        rows += [(i, h, spans.to_blob(s, e)) for (i, h), (s, e) in found.items()]
         i, h, d = zip(*rows, strict=True) if rows else ((),) * 3
         return pa.table({"doc_id": pa.array(i, pa.int64()), "h": pa.array(h, pa.int64()), "spans": pa.array(d, pa.binary())})
 

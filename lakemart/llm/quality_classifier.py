@@ -2,14 +2,17 @@
 
 Words (and their shapes, such as ``Xx.``) fall into 65,536 hash buckets.  A
 bucket's index vector is sparse, random and fixed; its word vector is the
-normalised sum of the index vectors of its neighbours in the training texts.
+normalised sum of the index vectors of its neighbours in all documents.
 A document is the mean of its word vectors, the mean of its shape vectors and
 three counts, over its whole text.  A network of two layers scores it, and a
 temperature fitted on rows apart calibrates the probabilities.
 
-Training uses a bounded sample of labelled rows (``max_rows``): their texts
-stay in the tasks, which return fixed-size tables and features.  Everything
-broadcast has a fixed size.  Scoring is one scan, without a shuffle.
+Word vectors need no labels: every task sums its documents into a table of
+fixed size, and the tables are added up slice by slice, in whole numbers, so
+reruns agree to the last bit.  The network learns from a bounded sample of
+labelled rows (``max_rows``), written once; only its features, one short row
+for each sampled id, reach the driver.  Everything broadcast has a fixed size.
+Scoring is one more scan, without a shuffle.
 """
 
 from __future__ import annotations
@@ -24,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import utf8
+from lakemart.llm.common import materialized, pack, unpack, utf8
 
 MAX_ROWS, THRESHOLD = 4000, 0.3
 BUCKETS, DIM, NEAR, NONZERO = 1 << 16, 32, 2, 4
-FIT_TASKS = 4               # partial word-vector tables that reach the driver
+SLICE = 1 << 10             # buckets of a word-vector table that are added up together
 HIDDEN, STEPS, RATE, DECAY = 32, 600, 0.01, 1e-3
 _SHAPES = bytes(0x78 if 97 <= b <= 122 or b >= 128 else 0x58 if 65 <= b <= 90 else 0x39 if 48 <= b <= 57 else b for b in range(256))
 
@@ -46,10 +49,10 @@ class Buckets(dict):
 
 def index_vectors() -> np.ndarray:
     rng = np.random.default_rng(6)
-    out = np.zeros((BUCKETS, DIM), np.float32)
+    out = np.zeros((BUCKETS, DIM), np.int32)
     rows = np.arange(BUCKETS)
     for _ in range(NONZERO):
-        out[rows, rng.integers(0, DIM, BUCKETS)] += rng.choice([-1.0, 1.0], BUCKETS)
+        out[rows, rng.integers(0, DIM, BUCKETS)] += rng.choice([-1, 1], BUCKETS).astype(np.int32)
     return out
 
 
@@ -59,18 +62,21 @@ def _token_buckets(text, memo: Buckets) -> np.ndarray:
     return np.array([memo[w] for w in words], np.int64).reshape(-1, 2)
 
 
-def context_sums(texts, index: np.ndarray, table: np.ndarray) -> None:
-    """Add to ``table`` the index vectors of each word's neighbours."""
-    memo = Buckets()
+def context_sums(texts, index: np.ndarray, table: np.ndarray, memo: Buckets) -> None:
+    """Add to ``table`` the index vectors of each word's neighbours in its text."""
     for text in texts:
         tokens = _token_buckets(text, memo)
         for at in range(0, len(tokens), 1 << 16):
-            part = tokens[at:at + (1 << 16)]
-            vectors = index[part].sum(axis=1)
-            around = np.zeros_like(vectors)
-            for d in range(1, NEAR + 1):
-                around[d:] += vectors[:-d]
-                around[:-d] += vectors[d:]
+            # NEAR words on either side are the context of a piece's outer words
+            low = max(0, at - NEAR)
+            part = tokens[low:at + (1 << 16) + NEAR]
+            summed = np.zeros((len(part) + 2 * NEAR + 1, DIM), np.int32)
+            np.cumsum(index[part[:, 0]] + index[part[:, 1]], axis=0, out=summed[NEAR + 1:-NEAR])
+            summed[-NEAR:] = summed[-NEAR - 1]
+            own = summed[NEAR + 1:-NEAR] - summed[NEAR:-NEAR - 1]
+            around = summed[2 * NEAR + 1:] - summed[:-2 * NEAR - 1] - own
+            inner = slice(at - low, at - low + min(1 << 16, len(tokens) - at))
+            part, around = part[inner], around[inner]
             for column in (0, 1):
                 order = np.argsort(part[:, column], kind="stable")
                 keys = part[order, column]
@@ -154,30 +160,54 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        max_rows: int = MAX_ROWS) -> tuple[np.ndarray, Network]:
-    """Word vectors and network from at most ``max_rows`` labelled documents.
+def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """The table of word vectors, from all texts: partial sums per task, added up
+    by slices of buckets (``BUCKETS / SLICE`` rows reach the driver: 16 MB)."""
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, memo, table = index_vectors(), Buckets(), None
+        for batch in batches:
+            table = np.zeros((BUCKETS, DIM), np.int64) if table is None else table
+            context_sums((t.as_py() for t in batch.column(0)), index, table, memo)
+        if table is not None:
+            parts = [pack(table[i:i + SLICE]) for i in range(0, BUCKETS, SLICE)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())],
+                                             names=["slice", "sums"])
+
+    def added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLICE * DIM, np.int64)
+        for batch in batches:
+            for part in batch.column("sums"):
+                total += np.frombuffer(unpack(part.as_py())[0], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                         names=["slice", "sums"])
+
+    schema = "slice int, sums binary"
+    found = docs.select(F.col(text).alias("text")).mapInArrow(sums, schema).groupBy("slice").applyInArrow(added, schema)
+    table = index_vectors().astype(np.float64)      # an unseen bucket keeps its own index vector
+    for row in found.collect():
+        table[row.slice * SLICE:(row.slice + 1) * SLICE] += np.frombuffer(row.sums, np.int64).reshape(SLICE, DIM)
+    table /= np.linalg.norm(table, axis=1, keepdims=True) + 1e-6
+    return table.astype(np.float32)
 
-    Rows are taken by a hash of their id.  Null labels and ids are left out; an
-    id with two labels counts as its smaller one; of rows repeating an id each counts.
-    """
-    spark = docs.sparkSession
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int) -> DataFrame:
+    """(text, label) of at most ``max_rows`` ids outside the held-out fold, chosen by hash.
+
+    Null labels and ids are left out; an id with two labels counts as its smaller
+    one, an id of several rows as one of them (of the smallest text hash)."""
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).dropna()
     known = known.groupBy("_id").agg(F.min("_y").alias("_y")).filter(~held_out("_id"))
-    chosen = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
-    sample = docs.join(chosen, F.col(f"`{doc_id}`") == F.col("_id")).select(F.col(text).alias("text"), "_y")
+    chosen = F.broadcast(materialized(known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows), "quality-ids"))
+    rows = docs.join(chosen, F.col(f"`{doc_id}`") == F.col("_id")).select("_id", "_y", F.col(text).alias("text"))
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")
+    return materialized(rows.groupBy("_id", "_y").agg(one).select(F.col("row.text").alias("text"), "_y"), "quality-sample")
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, table = index_vectors(), np.zeros((BUCKETS, DIM), np.float32)
-        for batch in batches:
-            context_sums((t.as_py() for t in batch.column(0)), index, table)
-        yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], names=["table"])
 
-    table = index_vectors()         # an unseen bucket keeps its own index vector
-    for row in sample.select("text").coalesce(FIT_TASKS).mapInArrow(sums, "table binary").toLocalIterator():
-        table += np.frombuffer(row.table, np.float32).reshape(BUCKETS, DIM)
-    table /= np.linalg.norm(table, axis=1, keepdims=True) + 1e-6
-    vectors = spark.sparkContext.broadcast(table)
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+        max_rows: int = MAX_ROWS) -> tuple[np.ndarray, Network]:
+    """Word vectors from all documents, the network from the labelled sample."""
+    table = word_vectors(docs, text)
+    vectors = docs.sparkSession.sparkContext.broadcast(table)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Buckets()
@@ -185,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             x = [document_features(t.as_py(), vectors.value, memo).tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), batch.column(1)], names=["x", "y"])
 
+    sample = labelled_sample(docs, labels, doc_id, text, label, max_rows)
     rows = sorted((bytes(r.x), r.y) for r in sample.mapInArrow(features, "x binary, y int").collect())
     x = np.array([np.frombuffer(r[0], np.float32) for r in rows]).reshape(-1, 2 * DIM + 3).astype(float)
     return table, train_network(x, np.array([r[1] for r in rows], int))

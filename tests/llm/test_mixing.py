@@ -44,36 +44,67 @@ def test_mix_meets_targets_and_limits(spark):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
-def test_schedule_by_simulation(spark):
-    """Every block's takes equal those of a slot-by-slot run of the schedule."""
+def simulated(sizes, block_words):
+    """Slot by slot: how often each block of each source is taken, and when first."""
+    t = mixing.target_sizes(sizes, mixing.cycle_weights(list(sizes)))
+    slots, sources = mixing.plan(sizes, t, block_words)
+    takes = {s.name: {} for s in sources}
+    ranks = {s.name: 0 for s in sources}
+
+    def take(s, slot):
+        if ranks[s.name] < s.slots:
+            times, first = takes[s.name].get(ranks[s.name] % s.blocks, (0, slot))
+            takes[s.name][ranks[s.name] % s.blocks] = times + 1, min(first, slot)
+        ranks[s.name] += 1
+
+    for i in range(slots):
+        u = (i + 1) * int(mixing.GOLDEN) % 2 ** 64
+        s = next(x for x in sources if x.low <= u < x.high)
+        if not s.own:
+            take(s, i)
+    for s in sources:
+        for k in range(s.slots if s.own else 0):
+            take(s, int(f"{k:08b}"[::-1], 2) * slots // 256)
+    return sources, takes
+
+
+@pytest.mark.parametrize("block_words", [1, 7, 97])
+def test_schedule_by_simulation(spark, block_words):
+    """Every document's takes and first slot equal those of a slot-by-slot run."""
     rows, df = docs(spark, 60, 3)
-    out = mixing.mix_sources(df, slots=97)
+    rows += [(2000 + i, "w " * 3000, "c", 1, 2) for i in range(20)]
+    out = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), block_words=block_words).collect()
     sizes = {}
     for _, t, s, *_ in rows:
         sizes[s] = sizes.get(s, 0) + len((t or "").split())
-    total = sum(sizes.values())
-    block = -(-total // 97)
-    t = mixing.target_sizes(sizes, mixing.cycle_weights(list(sizes)))
-    names = sorted(sizes, key=lambda n: (n is None, n or ""))
-    cum, acc = [], 0.0
-    for n in names:
-        acc += t[n] / sum(t.values())
-        cum.append(acc)
-    ranks = {n: 0 for n in names}
-    takes = {n: {} for n in names}
-    for i in range(-(-total // block)):
-        u = ((i + 1) * int(mixing.GOLDEN) % 2 ** 64) / 2 ** 64
-        n = next(x for x, c in zip(names, cum) if u < c or x == names[-1])
-        blocks = max(1, -(-sizes[n] // block))
-        if ranks[n] < 3 * blocks:
-            takes[n][ranks[n] % blocks] = takes[n].get(ranks[n] % blocks, 0) + 1
-        ranks[n] += 1
-    got = {}
-    for r in out.collect():
-        got[r.source] = got.get(r.source, 0) + r.taken
-    for n in names:
-        want = sum(c * (min(sizes[n], (b + 1) * block) - b * block) for b, c in takes[n].items() if b * block < sizes[n])
-        assert got[n] == want
+    sources, takes = simulated(sizes, block_words)
+    assert any(s.own for s in sources) == (block_words == 97) and any(s.blocks < s.size for s in sources) == (block_words > 1)
+    hashes = {r.doc_id: r.h for r in spark.createDataFrame([(i,) for i in {r[0] for r in rows}], "doc_id long").select(
+        "doc_id", F.xxhash64(F.lit(8), "doc_id").alias("h")).collect()}
+    expected = []
+    for s in sources:
+        words = sorted(((hashes[d], d is not None, d or 0, len((t or "").split())) for d, t, x, *_ in rows if x == s.name))
+        at = 0
+        for _, known, d, n in words:
+            hit = [takes[s.name][k] for w in range(at, at + n) if (k := ((w + 1) * s.blocks - 1) // s.size) in takes[s.name]]
+            expected.append((d if known else None, s.name, n, sum(x for x, _ in hit), min((f for _, f in hit), default=None)))
+            at += n
+    assert sorted(map(str, expected)) == sorted(str((r.doc_id, r.source, r["size"], r.taken, r.first_slot)) for r in out)
+
+
+def test_slots_of_the_schedule_follow_the_targets(spark):
+    """Ranks count up within a source, over ranges of slots, and prefixes keep the weights."""
+    sizes = {"a": 60_000_000, "b": 90_000_000, "c": 900}
+    targets = mixing.target_sizes(sizes, mixing.cycle_weights(list(sizes)))
+    slots, sources = mixing.plan(sizes, targets)
+    got = sorted((r.slot, r.source, r.rank, r.block) for r in mixing.schedule(spark, slots, sources).collect())
+    assert slots > 2 * mixing.SLOT_RANGE
+    for i, s in enumerate(sources):
+        ranks = sorted(r for _, x, r, _ in got if x == i)
+        assert ranks == list(range(s.slots)) and abs(s.slots / s.blocks * s.size - s.target) <= 0.01 * s.target
+        for part in (1000, 50_000):
+            share = sum(1 for slot, x, *_ in got if x == i and slot < part) / part
+            assert abs(share - s.slots / slots) < 0.005
 
 
 def test_slots_are_counted_exactly():
@@ -102,8 +133,17 @@ def test_thousand_words_beside_five_billion():
     for k in range(200):
         sizes = {"a": 25_000_000 * k + 1, "b": 1000, "c": 5_000_000_000 - 25_000_000 * k}
         targets = mixing.target_sizes(sizes, {"a": 1.0, "b": 5.0, "c": 2.0})
-        for n, (rounds, until) in mixing.schedule_takes(sizes, targets).items():
-            assert abs(rounds * sizes[n] + until - targets[n]) <= max(4, 0.01 * targets[n])
+        for s in mixing.plan(sizes, targets)[1]:
+            assert s.slots <= 3 * s.blocks
+            assert abs(s.slots / s.blocks * s.size - s.target) <= max(4, 0.01 * s.target)
+
+
+def test_one_id_on_many_rows(spark):
+    """Rows that repeat one id are spread over ranges, and reruns agree."""
+    rows = [(7, "w " * (i % 5), "a", 1, 2) for i in range(3000)] + [(i, "x y", "b", 1, 2) for i in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = sorted(map(str, mixing.mix_sources(df, block_words=10).collect()))
+    assert one == sorted(map(str, mixing.mix_sources(df.repartition(3), block_words=10).collect()))
 
 
 def test_empty_and_wordless(spark):

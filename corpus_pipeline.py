@@ -72,9 +72,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and reread."""
+    """All stages over ``documents``, each written and reread.  What is written
+    between stages is removed when the application ends."""
     docs = read_table(spark, sf_dir, "documents")
     root = f"{checkpoint_root(spark)}/llm/corpus-{uuid.uuid4().hex[:12]}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

@@ -2,8 +2,8 @@
 
 Broadcast policy — a side is broadcast only behind a size check:
 
-* literal code lists (payment types, rate codes, event names) are bounded by
-  construction and get an explicit ``broadcast()`` hint;
+* code lists (payment types, rate codes, event names) and the zone lookup get a
+  ``broadcast()`` hint if Spark's estimate of their size is below a limit;
 * every other side (tables, aggregates) goes through Spark's own check:
   the planner broadcasts it only when its estimated size is under
   ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-decides from the real
@@ -18,16 +18,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded(dim: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose size is bounded by construction (code lists)."""
-    return F.broadcast(dim)
+#: Largest side that is broadcast by a hint, by Spark's own estimate of its size.
+HINT_BYTES = 32 << 20
+
+
+def bounded(dim: DataFrame, limit: int = HINT_BYTES) -> DataFrame:
+    """A dimension that should be small (a code list, a geography), hinted for
+    broadcast if Spark estimates it below ``limit`` bytes; otherwise, or with no
+    estimate, returned as it is, and the planner and AQE choose the join."""
+    from lakemart.operators.skew import estimated_bytes
+    return F.broadcast(dim) if estimated_bytes(dim) <= limit else dim
 
 
 def left_enrich(fact: DataFrame, dim: DataFrame, on: str | list[str],
                 bounded_by_construction: bool = False) -> DataFrame:
-    """F1j: left equi-join by column name.  A literal code list is hinted for
-    broadcast; any other dimension is left to the size-checked planner/AQE."""
-    side = F.broadcast(dim) if bounded_by_construction else dim
+    """F1j: left equi-join by column name.  A side known to be small is hinted for
+    broadcast behind a check of its size; any other is left to the planner/AQE."""
+    side = bounded(dim) if bounded_by_construction else dim
     return fact.join(side, on=on, how="left")
 
 

@@ -198,12 +198,12 @@ def enrich_trips(clean: DataFrame, vendors: DataFrame, ratecodes: DataFrame, pay
     dimension's key is unique, so a left join that is not read changes nothing).
 
     Code lists (rate codes, payments) and the zone lookup (a fixed geography:
-    25 nations here, about 265 taxi zones in the original data) have a proven
-    size bound and are broadcast — a shuffle join on a 25-value key would send
+    25 nations here, about 265 taxi zones in the original data) are broadcast
+    behind a check of their size (``enrich.bounded``) — a shuffle join on a 25-value key would send
     the whole fact through at most 25 tasks.  Vendors grow with the data: Spark's
     size check decides, and beyond it heavy vendors are joined apart.
     """
-    from lakemart.operators.enrich import role_playing
+    from lakemart.operators.enrich import bounded, role_playing
     from lakemart.operators.skew import skew_left_join
 
     def read(dimension: str) -> bool:
@@ -211,11 +211,11 @@ def enrich_trips(clean: DataFrame, vendors: DataFrame, ratecodes: DataFrame, pay
 
     facts = skew_left_join(clean, vendors, "vendorid") if read("vendors") else clean
     if read("ratecodes"):
-        facts = facts.join(F.broadcast(ratecodes), "ratecodeid", "left")
+        facts = facts.join(bounded(ratecodes), "ratecodeid", "left")
     if read("payments"):
-        facts = facts.join(F.broadcast(payments), "payment_type", "left")
+        facts = facts.join(bounded(payments), "payment_type", "left")
     roles = {"pickup": "pulocationid", "dropoff": "dolocationid"}
-    return role_playing(facts, F.broadcast(zones), "locationid", {r: c for r, c in roles.items() if read(r)},
+    return role_playing(facts, bounded(zones), "locationid", {r: c for r, c in roles.items() if read(r)},
                         {"borough": "borough", "zone": "zone"})
 
 

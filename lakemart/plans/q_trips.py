@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import features as fx
 from lakemart.operators import clean as cl
 from lakemart.operators import lake, layers
+from lakemart.operators.enrich import bounded
 from lakemart.operators.marts import G1_KEYS, build_mart, marts, simple_counts
 from lakemart.operators.skew import skew_left_join
 from lakemart.plans import standins as st
@@ -586,6 +587,6 @@ def zone_lookup_csv(spark, sf):
     fs.write_csv(st.zones(spark, sf), path)
     zones = fs.read_csv(spark, path, header=True, schema="locationid bigint, borough string, zone string")
     e = tp.eda(spark, sf, L)
-    j = e.join(F.broadcast(zones.select("locationid", F.col("borough").alias("pickup_borough_csv"))),
+    j = e.join(bounded(zones.select("locationid", F.col("borough").alias("pickup_borough_csv"))),
                e.pulocationid == F.col("locationid"), "left")
     return j.groupBy("pickup_borough_csv").agg(F.count(F.lit(1)).alias("trips"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators.clean import Bound
+from lakemart.operators.enrich import bounded
 from lakemart.operators.skew import skew_left_join
 from lakemart.session import table
 
@@ -153,8 +154,9 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_list(spark: SparkSession, rows, key: str, name: str) -> DataFrame:
-    """A literal code list (bounded by construction) as a dimension."""
-    return spark.createDataFrame(rows, f"{key} int, {name} string")
+    """A literal code list as a dimension: a local relation, so Spark knows its size."""
+    body = ", ".join("({}, '{}')".format(k, v.replace("'", "\\'")) for k, v in rows)
+    return spark.sql(f"SELECT CAST({key} AS INT) AS {key}, {name} FROM VALUES {body} AS t({key}, {name})")
 
 
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +169,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension = nation (zone) + region (borough); 25 rows by definition."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    return (n.join(bounded(r), n.n_regionkey == r.r_regionkey, "left")
             .select(F.col("n_nationkey").cast("bigint").alias("locationid"),
                     F.col("r_name").alias("borough"), F.col("n_name").alias("zone")))
 

@@ -29,7 +29,7 @@ def dims(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
     # the literal vendor code list is bounded by construction: broadcast it,
     # or the fact would be shuffled on a two-value key.
     vend = (st.vendors(spark, sf_dir) if kind == "lineitem"
-            else bounded(spark.createDataFrame(VENDOR_CODES, "vendorid bigint, vendor_name string")))
+            else bounded(st.code_list(spark, VENDOR_CODES, "vendorid", "vendor_name")))
     return {
         "vendors": vend,
         "ratecodes": st.code_list(spark, st.RATECODES, "ratecodeid", "ratecode_name"),

@@ -14,6 +14,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.operators.enrich import bounded
+
 # ---- fixed values: JSON message contract of the user-event topic ----------
 EVENT_SCHEMA = ("id INT, date STRING, event_date STRING, event_id INT, "
                 "username STRING, group_id INT, value DOUBLE")
@@ -67,11 +69,10 @@ def decode(kafka: DataFrame, schema: str = EVENT_SCHEMA, mode: str = "PERMISSIVE
 def enrich(events: DataFrame, event_dim: DataFrame, group_dim: DataFrame) -> DataFrame:
     """L4/F11j: two left stream-static joins, each id and its name side by side.
 
-    The dimensions are the caller's tables: Spark's size check decides whether a
-    side is broadcast (a code list is far below its threshold).
+    The dimensions are the caller's tables, broadcast behind a check of their size.
     """
     named = ["key", "offset", "id", "date", "event_date", "event_id", "event_name", "username", "group_id", "group_name", "value"]
-    return (events.join(event_dim, "event_id", "left").join(group_dim, "group_id", "left")
+    return (events.join(bounded(event_dim), "event_id", "left").join(bounded(group_dim), "group_id", "left")
             .select(*named, *[c for c in events.columns if c not in named]))
 
 

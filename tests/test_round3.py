@@ -300,3 +300,17 @@ def test_helpers_without_a_query(spark):
     assert clean.existing_in_order(dim, ["v", "x", "k"]).columns == ["v", "k"]
     assert ml.stratified_sample(fact, "k", {0: 1.0, 1: 0.0}).count() == 1
     assert json.loads(spark.range(1).schema.json())["fields"][0]["name"] == "id"
+
+
+def test_hints_follow_the_estimated_size(spark, sf):
+    small = spark.read.parquet(f"{sf}/nation.parquet")
+    fact = spark.range(10).withColumnRenamed("id", "n_nationkey")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for limit, join in ((enrich.HINT_BYTES, "BroadcastHashJoin"), (10, "SortMergeJoin")):
+            assert join in cat.explain_text(fact.join(enrich.bounded(small, limit), "n_nationkey"), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    unknown = spark.createDataFrame([(1,)], "k long")
+    assert enrich.bounded(unknown) is unknown or skew.estimated_bytes(unknown) <= enrich.HINT_BYTES

@@ -97,6 +97,5 @@ def catalog_insert_values(spark, sf):
                      location=scratch_path(spark, "table"))
     regions = table(spark, sf, "region").select("r_regionkey", "r_name").collect()
     cat.insert_values(spark, name, [(r[0], r[1], "region") for r in regions] + [(-1, "O'Neill \\ sons", None)])
-    listed = cat.show_namespaces(spark).filter(F.col("namespace") == ns)
-    return spark.table(name).filter("loaded_at IS NOT NULL").join(
-        listed.select(F.col("namespace").alias("__ns")), F.lit(ns) == F.col("__ns"), "left_semi").select("code", "name", "kind")
+    listed = not cat.show_namespaces(spark).filter(F.col("namespace") == ns).isEmpty()
+    return spark.table(name).filter(F.lit(listed) & F.col("loaded_at").isNotNull()).select("code", "name", "kind")

@@ -37,13 +37,14 @@ _SHAPES = bytes(0x78 if 97 <= b <= 122 or b >= 128 else 0x58 if 65 <= b <= 90 el
 
 
 class Buckets(dict):
-    """Word -> bucket of the lower-cased word, bucket of its shape; memoised."""
+    """Word -> bucket of the lower-cased word and bucket of its shape, as one number; memoised."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) > 300_000:
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 150_000:
             self.clear()
         shape = re.sub(rb"(.)\1+", rb"\1", word.translate(_SHAPES), flags=re.DOTALL)
-        at = self[word] = (xxhash.xxh32_intdigest(word.lower(), 1) % BUCKETS, xxhash.xxh32_intdigest(shape, 2) % BUCKETS)
+        at = self[word] = (xxhash.xxh32_intdigest(word.lower(), 1) % BUCKETS * BUCKETS
+                           + xxhash.xxh32_intdigest(shape, 2) % BUCKETS)
         return at
 
 
@@ -59,7 +60,8 @@ def index_vectors() -> np.ndarray:
 def _token_buckets(text, memo: Buckets) -> np.ndarray:
     """(words, 2) buckets of words and shapes."""
     words = utf8(text).split()
-    return np.array([memo[w] for w in words], np.int64).reshape(-1, 2)
+    both = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+    return np.stack([both // BUCKETS, both % BUCKETS], axis=1)
 
 
 def context_sums(texts, index: np.ndarray, table: np.ndarray, memo: Buckets) -> None:

@@ -33,8 +33,7 @@ MAGIC = b"LMTK"
 END_ID = 1
 GRAMMAR_IDS = 1 << 20           # ids of one grammar
 SHARD_IDS = 1 << 20             # a shard ends with the document that reaches so many
-LEAST_PAIRS = 64                # a pair found less often makes no rule
-LEAST_GAIN = 0.10               # rounds end when a round shortens the sequence by less
+LEAST_PAIRS = 2                 # a pair found less often makes no rule
 HELD_WORDS = 600_000            # encoded words that a worker remembers, twice
 PIECE = 1 << 20                 # bytes of a text encoded at once
 
@@ -48,48 +47,73 @@ HASH_BITS = 20
 
 def _frequent_pairs(key: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(pairs, rank): pairs that occur ``least`` times or more, most frequent first,
-    and for each position the rank of its pair (their number: not frequent).
-
-    Positions find their pair by a hash; of pairs that share one, the most
-    frequent is taken now and the others in a later round."""
-    h = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-    heavy = np.bincount(h, minlength=1 << HASH_BITS) >= least
-    pairs, counts = np.unique(key[heavy[h]], return_counts=True)
-    pairs, counts = pairs[counts >= least], counts[counts >= least]
-    pairs = pairs[np.lexsort((pairs, -counts))]
-    table = np.full(1 << HASH_BITS, len(pairs), np.int64)
-    slot = ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-    table[slot[::-1]] = np.arange(len(pairs))[::-1]
-    rank = table[h]
-    rank[np.append(pairs, -1)[rank] != key] = len(pairs)
-    return pairs, rank
-
-
-def re_pair(ids: np.ndarray, first: int, least: int = LEAST_PAIRS, gain: float = LEAST_GAIN):
+    and for each key the rank of its pair (their number: not frequent)."""
+    at = np.arange(len(key))
+    if len(key) > 1 << 14:          # most pairs are too rare even with all that share their hash
+        h = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+        at = np.flatnonzero(np.bincount(h, minlength=1 << HASH_BITS)[h] >= least)
+    order = at[np.argsort(key[at])]
+    ordered = key[order]
+    cut = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(at) else at
+    counts = np.diff(np.r_[cut, len(at)])
+    often = np.flatnonzero(counts >= least)
+    often = often[np.argsort(-counts[often], kind="stable")]       # of equal ones the smaller pair first
+    to = np.full(len(counts), len(often))
+    to[often] = np.arange(len(often))
+    rank = np.full(len(key), len(often))
+    rank[order] = np.repeat(to, counts)
+    return ordered[cut[often]], rank
+
+
+def _places(at: np.ndarray, rank: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, their ranks, used) of the pairs to replace, of those ranked below ``n``
+    at places ``at``: no two overlap, and each pair that is used has two places or
+    more.  None at all only if no pair has two places."""
+    while True:
+        near = np.diff(at) == 1
+        left = np.r_[n, np.where(near, rank[:-1], n)] if len(at) else rank
+        right = np.r_[np.where(near, rank[1:], n), n] if len(at) else rank
+        run = rank == left              # a pair after itself: one symbol, repeated
+        hit = rank < left
+        if run.any():                   # every second place of a run
+            place = np.arange(len(at))
+            hit |= run & ((place - np.maximum.accumulate(np.where(run, 0, place))) % 2 == 0)
+        hit &= rank <= right
+        won = rank[hit]
+        used = np.bincount(won, minlength=n) >= 2
+        if not len(won) or used.any():
+            return at[hit][used[won]], won[used[won]], used
+        # what won here can't be replaced twice: the pairs beside it may
+        lost = np.zeros(n, bool)
+        lost[won] = True
+        at, rank = at[~lost[rank]], rank[~lost[rank]]
+
+
+def re_pair(ids: np.ndarray, first: int, least: int = LEAST_PAIRS):
     """(left, right, sequence): rules of the symbols ``first``, ``first`` + 1, ...
 
     A round takes all frequent pairs at once; where occurrences overlap, the
-    more frequent pair wins, the first of equal ones."""
+    more frequent pair wins, the first of equal ones.  Rounds end when no pair
+    is left that occurs ``least`` times and can be replaced twice.  After the
+    first, a round counts the pairs that were frequent and those of a new symbol:
+    no other can have become frequent."""
     seq, left, right = ids.astype(np.int64), [], []
-    new = first
-    while len(seq) > 1:
-        pairs, rank = _frequent_pairs((seq[:-1] << 32) | seq[1:], least)
-        edge = np.r_[len(pairs), rank, len(pairs)]
-        hit = (rank < len(pairs)) & (rank < edge[:-2]) & (rank <= edge[2:])
-        at = np.flatnonzero(hit)
-        used = np.bincount(rank[at], minlength=len(pairs)) >= 2
-        at = at[used[rank[at]]]
-        if not len(at):
+    new, at = first, np.arange(max(len(ids) - 1, 0))
+    while len(at):
+        pairs, rank = _frequent_pairs((seq[at] << 32) | seq[at + 1], least)
+        at, rank = at[rank < len(pairs)], rank[rank < len(pairs)]
+        place, won, used = _places(at, rank, len(pairs))
+        if not len(place):
             break
-        name = np.cumsum(used) - 1 + new
         left.append(pairs[used] >> 32)
         right.append(pairs[used] & 0xFFFFFFFF)
+        seq[place] = (np.cumsum(used) - 1 + new)[won]
         new += int(used.sum())
-        before = len(seq)
-        seq[at] = name[rank[at]]
-        seq = np.delete(seq, at + 1)
-        if before - len(seq) < gain * before:
-            break
+        again, keep = np.zeros(len(seq), bool), np.ones(len(seq), bool)
+        again[at] = again[place] = again[np.maximum(place - 1, 0)] = True
+        keep[place + 1] = False
+        seq = seq[keep]
+        at = np.flatnonzero(again[keep][:-1])
     rules = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right)]
     return rules[0].astype(np.uint32), rules[1].astype(np.uint32), seq.astype(np.uint32)
 

@@ -93,6 +93,21 @@ def test_frequent_pairs_become_rules():
     assert max(grammar.size) >= 8 and grammar.size[grammar.seq].sum() == len(ids)
 
 
+@pytest.mark.parametrize("ids", [[7] * 1001, [7, 7, 7, 7], list(range(300)) * 2, [1, 2, 9, 1, 2, 8, 1, 2],
+                                 np.random.default_rng(3).zipf(1.4, 30_000).clip(max=5000).tolist()])
+def test_rounds_go_on_until_no_pair_repeats(ids):
+    """No pair of the remaining sequence has two places that don't overlap."""
+    left, right, seq = tf.re_pair(np.array(ids, np.uint32), 6000)
+    last, places = {}, {}
+    for i, pair in enumerate(zip(seq.tolist()[:-1], seq.tolist()[1:], strict=True)):
+        if i > last.get(pair, -2) + 1:
+            last[pair] = i
+            places[pair] = places.get(pair, 0) + 1
+    assert max(places.values(), default=1) == 1
+    grammar = tf.Grammar(tf.grammar_blob(np.array(ids, np.uint32), 6000))
+    assert grammar.ids().tolist() == ids
+
+
 def test_random_access_by_document(spark, tokenizer):
     """A document is read from its shard without the documents around it."""
     rows = [(i, f"text number {i} " * (i % 7)) for i in range(60)]

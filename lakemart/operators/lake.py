@@ -255,15 +255,24 @@ def load_check(df: DataFrame) -> DataFrame:
 
 # ---- C7 / C8 / C10 --------------------------------------------------------
 
-def write_slices(df: DataFrame, root: str, slice_col: str = "slice", mode: str = "overwrite") -> None:
+#: Files of a slice up to which a scan of them is written without a shuffle.
+FEW_FILES = 4
+
+
+def write_slices(df: DataFrame, root: str, slice_col: str = "slice", mode: str = "overwrite",
+                 clustered: bool = False) -> None:
     """Write a DataFrame as one folder per slice; dynamic overwrite replaces only
     the slices present in ``df`` and never the others.
 
     ``rebalance`` clusters rows by slice so files are few and large, and AQE
     splits a skewed slice (say a month with a third of all rows) across many
     tasks instead of writing it from one; no coalesce(1).
+
+    ``clustered``: the rows come from a scan of few files a slice, with no shuffle
+    since; a task then holds few slices, and the rows needn't travel again.
     """
-    (df.hint("rebalance", slice_col).write.mode(mode)
+    rows = df if clustered else df.hint("rebalance", slice_col)
+    (rows.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(slice_col).parquet(root))
 
@@ -310,15 +319,16 @@ def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str]
     return [(members, T.StructType(list(known.values()))) for members, known in groups]
 
 
-def _normalize(spark: SparkSession, paths: list[str], silver_root: str) -> None:
-    """All files in one write: one scan for each group of agreeing schemas."""
+def _normalize(spark: SparkSession, files: dict[str, list[str]], silver_root: str) -> None:
+    """All files ({slice: paths}) in one write: one scan for each group of agreeing schemas."""
+    paths = [p for some in files.values() for p in some]
     out = None
-    for files, schema in schema_groups(spark, paths):
-        raw = spark.read.schema(schema).parquet(*files).withColumn("__slice", slice_key(F.col("_metadata.file_path")))
+    for some, schema in schema_groups(spark, paths):
+        raw = spark.read.schema(schema).parquet(*some).withColumn("__slice", slice_key(F.col("_metadata.file_path")))
         part = standardize(raw, expected=TRIP_COLUMNS + ["__slice"], add_missing=True).withColumnRenamed("__slice", "slice")
         # columns without a declared type (timestamps) may be absent here and typed there
         out = part if out is None else out.unionByName(part)
-    write_slices(out, silver_root)
+    write_slices(out, silver_root, clustered=len(paths) <= FEW_FILES * len(files))
 
 
 def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: str,
@@ -345,7 +355,7 @@ def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: st
     status = "slice string, rows bigint, status string"
 
     def work(slices: list[str]) -> None:
-        _normalize(spark, [p for s in slices for p in files[s]], silver_root)
+        _normalize(spark, {s: files[s] for s in slices}, silver_root)
 
     failed = layers.bisect(sorted(files), work, on_error)
     layers.delete_slices(spark, silver_root, gone)
@@ -367,6 +377,23 @@ def incremental_normalize(spark: SparkSession, bronze_root: str, silver_root: st
             .select("slice", "rows", "status").unionByName(errors))
 
 
+def split_by_schema(spark: SparkSession, root: str, slices: list[str], declared: T.StructType) -> list[list[str]]:
+    """The slices whose files have the declared types, and those that have others:
+    known from the files' footers, so that a write of the former isn't lost to the latter."""
+    files = {r.path: r.slice for r in list_candidates(spark, root).filter(F.col("slice").isin(slices)).collect()}
+    types = {f.name.lower(): f.dataType for f in declared.fields}
+    odd: set[str] = set()
+    try:
+        for paths, schema in schema_groups(spark, list(files)) if files else []:
+            if any(types.get(f.name.lower(), f.dataType) != f.dataType for f in schema.fields):
+                odd |= {files[p] for p in paths}
+    except Exception as exc:
+        if layers.data_error(exc) is None:
+            raise                       # a footer that can't be read: the slices are halved as they are
+        return [slices]
+    return [some for some in ([s for s in slices if s not in odd], [s for s in slices if s in odd]) if some]
+
+
 def manifest_versions(manifest: DataFrame) -> DataFrame:
     """The normalised layer as the input of the next: (slice, status, version)."""
     return layers.latest(manifest.drop("files")).select("slice", "status", F.col("run_id").alias("version"))

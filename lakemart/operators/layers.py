@@ -116,11 +116,14 @@ def delete_slices(spark: SparkSession, root: str, slices: list[str], slice_col:
 # ---- layers -------------------------------------------------------------------
 
 def advance(spark: SparkSession, inputs: DataFrame, target: str, ledger_path: str,
-            build: Callable[[list[str]], DataFrame], on_error: str = "skip") -> DataFrame:
+            build: Callable[[list[str]], DataFrame], on_error: str = "skip",
+            apart: Callable[[list[str]], list[list[str]]] | None = None) -> DataFrame:
     """Bring a layer up to date: rebuild its pending slices, drop removed ones.
 
     ``build`` gives the rows (with a ``slice`` column) of the named slices; they
-    replace those slices of ``target``.  Returns the run's ledger rows (slice,
+    replace those slices of ``target``.  ``apart`` parts the pending slices into
+    groups that are written one after the other (those likely to fail by themselves).
+    Returns the run's ledger rows (slice,
     rows, status, error).  Only slice names and versions reach the driver.
     """
     from lakemart.operators.lake import write_slices
@@ -129,7 +132,9 @@ def advance(spark: SparkSession, inputs: DataFrame, target: str, ledger_path: st
     gone = sorted(r.slice for r in todo if r.status == "removed")
     live = sorted(r.slice for r in todo if r.status != "removed")
     run_id = uuid.uuid4().hex
-    bad = bisect(live, lambda names: write_slices(build(names), target), on_error)
+    bad = {}
+    for group in apart(live) if apart and live else [live]:
+        bad |= bisect(group, lambda names: write_slices(build(names), target), on_error)
     good = [s for s in live if s not in bad]
     delete_slices(spark, target, gone)
     counts = {}
@@ -226,7 +231,8 @@ def incremental_eda(spark: SparkSession, norm_root: str, norm_ledger: DataFrame,
         enriched = lake.enrich_trips(clean, **dims)
         return enriched.select(*[c for c in lake.EDA_COLUMNS if c in enriched.columns], "slice")
 
-    return advance(spark, norm_ledger, eda_root, eda_ledger, build, on_error)
+    return advance(spark, norm_ledger, eda_root, eda_ledger, build, on_error,
+                   apart=lambda names: lake.split_by_schema(spark, norm_root, names, schema))
 
 
 def incremental_gold(spark: SparkSession, eda_root: str, eda_ledger: str, states_root: str, gold_ledger: str,

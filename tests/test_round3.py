@@ -314,3 +314,37 @@ def test_hints_follow_the_estimated_size(spark, sf):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     unknown = spark.createDataFrame([(1,)], "k long")
     assert enrich.bounded(unknown) is unknown or skew.estimated_bytes(unknown) <= enrich.HINT_BYTES
+
+
+# ---- work that must not grow faster than its input ------------------------------
+
+def test_a_bad_slice_is_written_apart(spark, monkeypatch):
+    """Footers tell a slice of other types: the good ones are written once, without it."""
+    root, target, ledger = (scratch_path(spark, x) for x in ("apart", "apart-eda", "apart-ledger"))
+    names = [f"2024-{m:02d}" for m in range(1, 9)]
+    for s in names:
+        value = "'x'" if s == "2024-03" else "1.5"
+        spark.sql(f"SELECT {value} AS fare, '{s}' AS slice").write.mode("append").partitionBy("slice").parquet(root)
+    schema = spark.createDataFrame([], "fare decimal(2,1), slice string").schema
+    calls, write = [], lake.write_slices
+    monkeypatch.setattr(lake, "write_slices", lambda df, at, **kw: (calls.append(at), write(df, at, **kw)))
+    inputs = spark.createDataFrame([(s, "done", "v1") for s in names], "slice string, status string, version string")
+
+    def build(some):
+        return spark.read.schema(schema).parquet(root).filter(F.col("slice").isin(some))
+    got = {r.slice: r.status for r in layers.advance(
+        spark, inputs, target, ledger, build, apart=lambda some: lake.split_by_schema(spark, root, some, schema)).collect()}
+    assert got == {s: "error" if s == "2024-03" else "done" for s in names}
+    assert len(calls) == 2
+
+
+def test_normalised_slices_of_few_files_are_not_shuffled(spark, monkeypatch):
+    seen, write = [], lake.write_slices
+    monkeypatch.setattr(lake, "write_slices", lambda df, at, **kw: (seen.append(kw.get("clustered")), write(df, at, **kw)))
+    for parts in (1, 9):                # files of a slice
+        bronze, silver, manifest = (scratch_path(spark, x) for x in ("few", "few-silver", "few-manifest"))
+        spark.range(90).selectExpr("CAST(id AS DOUBLE) AS fare_amount", "'2024-01' AS slice").repartition(parts).write.partitionBy(
+            "slice").parquet(bronze)
+        assert [(r.rows, r.status) for r in lake.incremental_normalize(spark, bronze, silver, manifest).collect()] == [(90, "done")]
+        assert spark.read.parquet(silver).agg(F.sum("fare_amount")).first()[0] == sum(range(90))
+    assert seen == [True, False]

@@ -130,41 +130,51 @@ def matrix_add(a: DataFrame, b: DataFrame) -> DataFrame:
     return cells.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
+#: Levels of a document walked between two writes of what is open.
+LEVELS = 4
+
+
 def deep_values_variant(spark, df: DataFrame, id_cols: list[str], json_col: str, key: str) -> DataFrame:
     """J6 over JSON of *any* shape: ``$..key`` with the VARIANT type.
 
-    Documents are parsed once (``parse_json``) and walked one level per round
-    with the ``variant_explode`` table function.  A round writes its level once
-    to shared storage (a checkpoint: a lost executor recomputes one round), each
-    row tagged: ``found`` holds a scalar whose key matches, ``open`` an object or
-    array for the next round; both are then read from there.  Rounds end with
-    the documents' nesting depth.  All the work is distributed — nothing is
-    collected.
+    Documents are parsed once (``parse_json``) and walked ``LEVELS`` levels per
+    round in one job: at each level ``variant_explode_outer`` opens the values
+    that are no hit, and passes hits on.  A round writes once to shared storage
+    (a lost executor recomputes one round): ``found`` holds a scalar whose key
+    matches, ``open`` an object or array for the next round; both are then read
+    from there.  Rounds end with the documents' nesting depth.  All the work is
+    distributed: nothing but a count is collected.
     """
     import uuid
 
-    from lakemart.session import checkpoint_root
-    checkpoint_root(spark)
+    from lakemart.session import scratch_path
     ids = ", ".join(f"`{c}`" for c in id_cols)
     frontier = df.select(*id_cols, F.parse_json(json_col).alias("open"))
-    parts = []
+    out = None
     while True:
-        view = f"lakemart_variant_{uuid.uuid4().hex[:12]}"
-        frontier.createOrReplaceTempView(view)
-        level = spark.sql(f"SELECT {ids}, e.key AS k, e.value AS v "
-                          f"FROM {view}, LATERAL variant_explode(open) AS e")
-        kind = F.schema_of_variant("v")
+        level = frontier.withColumn("found", F.lit(None).cast("double"))
+        views = []
+        for _ in range(LEVELS):
+            views.append(f"lakemart_variant_{uuid.uuid4().hex[:12]}")
+            level.createOrReplaceTempView(views[-1])
+            level = spark.sql(f"SELECT {ids}, found AS hit, e.key AS k, e.value AS v "
+                              f"FROM {views[-1]}, LATERAL variant_explode_outer(open) AS e")
+            # an object or array is no number; a scalar that stays open has nothing inside
+            hit = F.coalesce("hit", F.when(F.col("k") == key, F.try_variant_get("v", "$", "double")))
+            level = (level.select(*id_cols, "v", hit.alias("found"))
+                     .select(*id_cols, F.when(F.col("found").isNull(), F.col("v")).alias("open"), "found")
+                     .filter(F.col("open").isNotNull() | F.col("found").isNotNull()))
+        kind = F.schema_of_variant("open")
         container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        tagged = level.select(
-            *id_cols, F.when(container, F.col("v")).alias("open"),
-            F.when((F.col("k") == key) & ~container, F.try_variant_get("v", "$", "double")).alias("found"))
-        tagged = tagged.filter(F.col("open").isNotNull() | F.col("found").isNotNull()).checkpoint(eager=True)
-        spark.catalog.dropTempView(view)
-        parts.append(tagged.filter(F.col("found").isNotNull()).select(*id_cols, F.col("found").alias(key)))
-        frontier = tagged.filter(F.col("open").isNotNull()).select(*id_cols, "open")
-        if frontier.isEmpty():
-            break
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        tagged = level.withColumn("open", F.when(F.col("open").isNotNull() & container, F.col("open")))
+        tagged = tagged.filter(F.col("open").isNotNull() | F.col("found").isNotNull())
+        path = scratch_path(spark, "variant-level")
+        tagged.write.parquet(path)
+        for view in views:
+            spark.catalog.dropTempView(view)
+        back = spark.read.schema(tagged.schema).parquet(path)
+        part = back.filter(F.col("found").isNotNull()).select(*id_cols, F.col("found").alias(key))
+        out = part if out is None else out.unionByName(part)
+        if not back.agg(F.count("open")).first()[0]:
+            return out
+        frontier = back.filter(F.col("open").isNotNull()).select(*id_cols, "open")

@@ -348,3 +348,15 @@ def test_normalised_slices_of_few_files_are_not_shuffled(spark, monkeypatch):
         assert [(r.rows, r.status) for r in lake.incremental_normalize(spark, bronze, silver, manifest).collect()] == [(90, "done")]
         assert spark.read.parquet(silver).agg(F.sum("fare_amount")).first()[0] == sum(range(90))
     assert seen == [True, False]
+
+
+def test_variant_levels_are_written_once_for_several(spark, monkeypatch):
+    """Hits at every level of deep documents, scalars and containers of that name, one write for LEVELS levels."""
+    from lakemart import session
+    paths, path = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda s, name: paths.append(name) or path(s, name))
+    deep = '{"price": 1, "a": [{"price": 2, "b": {"price": {"price": 3, "c": [[{"price": 4}]]}}}], "e": {}, "n": null}'
+    docs = [(1, deep), (2, '{"price": "5"}'), (3, '{"price": "no"}'), (4, "[]"), (5, "7"), (6, '{"price": [8, {"price": 9}]}')]
+    got = nx.deep_values_variant(spark, spark.createDataFrame(docs, "id int, doc string"), ["id"], "doc", "price")
+    assert sorted(map(tuple, got.collect())) == [(1, 1.0), (1, 2.0), (1, 3.0), (1, 4.0), (2, 5.0), (6, 9.0)]
+    assert len(paths) == 2              # eight levels deep at most

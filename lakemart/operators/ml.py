@@ -115,6 +115,32 @@ def random_split(df: DataFrame, train: float = 0.7, seed: int = 42):
     return df.randomSplit([train, 1 - train], seed=seed)
 
 
+#: Rows that make a training task worth its overhead, and rows it should not exceed.
+TASK_ROWS, MOST_TASK_ROWS = 50_000, 1_000_000
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over the session's cores if a few of its partitions hold
+    most rows (a file of one row group is one task in each of a model's passes).
+    A small table stays as it is."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    total = sum(sizes)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n = max(1, min(total // TASK_ROWS, max(cores, total // MOST_TASK_ROWS)))
+    return df.repartition(n) if max(sizes, default=0) > 2 * total / n else df
+
+
+def weighted_rows(df: DataFrame, features: list[str], label: str, weight: str = "weight") -> DataFrame:
+    """One row per distinct feature values: their number as ``weight`` and their mean label.
+
+    To trees that split by variance, without row sampling, this is the same data:
+    sums of weights and of weighted labels are equal in every node, and what labels
+    vary within equal features is in no split's gain.  A null label stays null, as
+    models refuse those."""
+    mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(label)).alias(label)
+    return df.groupBy(*features).agg(F.count(F.lit(1)).cast("double").alias(weight), mean)
+
+
 def hash_bucket(key: str):
     """Deterministic 0..99 bucket from the md5 of a key (engine-independent)."""
     return (F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int") % 100)

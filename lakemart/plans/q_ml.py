@@ -241,12 +241,15 @@ def gbt_regression_metrics(spark, sf):
     li = table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_linenumber",
                                             "l_extendedprice")
     feats = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-    data = ml.assembler(feats).transform(li)
-    train, test = ml.random_split(data, 0.7, 42)
+    vectors = ml.assembler(feats)
+    train, test = ml.random_split(vectors.transform(li), 0.7, 42)
+    train = ml.spread_rows(train)
+    # 100 boosted trees pass over their rows 600 times; the forest samples rows and needs each of them
+    weighted = vectors.transform(ml.weighted_rows(train, feats, "l_extendedprice"))
     out = None
-    for name, model in (("gbt_regressor", ml.gbt_regressor("l_extendedprice")),
-                        ("rf_regressor", ml.rf_regressor("l_extendedprice"))):
-        fitted = model.fit(train)
+    for name, model, rows in (("gbt_regressor", ml.gbt_regressor("l_extendedprice").setWeightCol("weight"), weighted),
+                              ("rf_regressor", ml.rf_regressor("l_extendedprice"), train)):
+        fitted = model.fit(rows)
         pred = fitted.transform(test)
         m = ml.regression_metrics(pred, "l_extendedprice")
         rows = m.select(F.lit(name).alias("model_type"), F.explode(F.create_map(

@@ -360,3 +360,24 @@ def test_variant_levels_are_written_once_for_several(spark, monkeypatch):
     got = nx.deep_values_variant(spark, spark.createDataFrame(docs, "id int, doc string"), ["id"], "doc", "price")
     assert sorted(map(tuple, got.collect())) == [(1, 1.0), (1, 2.0), (1, 3.0), (1, 4.0), (2, 5.0), (6, 9.0)]
     assert len(paths) == 2              # eight levels deep at most
+
+
+def test_weighted_rows_train_the_same_trees(spark):
+    rows = spark.range(4000).selectExpr("CAST(id % 20 AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b",
+                                        "CAST((id * 37) % 101 + 10 * (id % 20) + id % 7 AS DOUBLE) AS y")
+    vectors = ml.assembler(["a", "b"])
+    weighted = ml.weighted_rows(rows, ["a", "b"], "y")
+    assert weighted.count() == 140 and weighted.agg(F.sum("weight")).first()[0] == 4000
+    model = ml.gbt_regressor("y", 5, 3)
+    test = vectors.transform(rows.select("a", "b").distinct())
+    plain = {(r.a, r.b): r.prediction for r in model.fit(vectors.transform(rows)).transform(test).collect()}
+    other = {(r.a, r.b): r.prediction for r in model.copy().setWeightCol("weight").fit(vectors.transform(weighted)).transform(test).collect()}
+    assert other == pytest.approx(plain)
+    assert ml.weighted_rows(spark.sql("SELECT 1 AS a, CAST(NULL AS DOUBLE) AS y"), ["a"], "y").first()["y"] is None
+
+
+def test_rows_of_one_task_are_spread(spark):
+    one = spark.range(0, 300_000, 1, 1)
+    sizes = [r["count"] for r in ml.spread_rows(one).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 300_000 and max(sizes) <= 160_000
+    assert ml.spread_rows(spark.range(0, 5000, 1, 1)).rdd.getNumPartitions() == 1

@@ -83,9 +83,10 @@ def _places(at: np.ndarray, rank: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
         used = np.bincount(won, minlength=n) >= 2
         if not len(won) or used.any():
             return at[hit][used[won]], won[used[won]], used
-        # what won here can't be replaced twice: the pairs beside it may
-        lost = np.zeros(n, bool)
+        # what won one place and lost none to another can't be replaced twice: the pairs beside it may
+        lost, beaten = np.zeros(n, bool), rank[(left < rank) | (right < rank)]
         lost[won] = True
+        lost[beaten] = False
         at, rank = at[~lost[rank]], rank[~lost[rank]]
 
 

@@ -268,7 +268,7 @@ def json_deep_values(spark, sf):
 @query("json_deep_values_variant", sql=DEEP_SQL)
 def json_deep_values_variant(spark, sf):
     """J6 without a schema: the same documents read as plain text lines and
-    walked with VARIANT (``parse_json`` + ``variant_explode`` per level)."""
+    walked with VARIANT (``parse_json`` + ``variant_explode_outer`` per level)."""
     li = table(spark, sf, "lineitem")
     path = scratch_path(spark, "deep-json-text")
     _deep_docs(li).write.json(path)

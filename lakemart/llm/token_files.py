@@ -18,12 +18,15 @@ Layout of a shard (integers little-endian): ``LMTK``, then a ``pack`` of
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ END_ID = 1
 GRAMMAR_IDS = 1 << 20           # ids of one grammar
 SHARD_IDS = 1 << 20             # a shard ends with the document that reaches so many
 LEAST_PAIRS = 2                 # a pair found less often makes no rule
-HELD_WORDS = 600_000            # encoded words that a worker remembers, twice
+HELD_WORDS = 600_000            # runs of letters that a worker remembers, twice, and other words
 PIECE = 1 << 20                 # bytes of a text encoded at once
 
 SHARD = "part int, shard long, docs long, ids long, data binary"
@@ -42,52 +45,59 @@ SHARD = "part int, shard long, docs long, ids long, data binary"
 
 # ---- Re-Pair ------------------------------------------------------------------
 
-HASH_BITS = 20
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys below 2 ** ``bits`` ascending, their places): place and key are sorted as one number if they fit."""
+    low = max(len(key) - 1, 0).bit_length()
+    if bits + low > 63:
+        order = np.argsort(key, kind="stable")
+        return key[order], order
+    both = np.sort(key << low | np.arange(len(key)))
+    return both >> low, both & ((1 << low) - 1)
 
 
-def _frequent_pairs(key: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent_pairs(key: np.ndarray, bits: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(pairs, rank): pairs that occur ``least`` times or more, most frequent first,
-    and for each key the rank of its pair (their number: not frequent)."""
-    at = np.arange(len(key))
-    if len(key) > 1 << 14:          # most pairs are too rare even with all that share their hash
-        h = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-        at = np.flatnonzero(np.bincount(h, minlength=1 << HASH_BITS)[h] >= least)
-    order = at[np.argsort(key[at])]
-    ordered = key[order]
-    cut = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(at) else at
-    counts = np.diff(np.r_[cut, len(at)])
+    and for each key, below 2 ** ``bits``, the rank of its pair (their number: not frequent)."""
+    ordered, order = _sorted(key, bits)
+    cut = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    counts = np.diff(np.r_[cut, len(key)])
     often = np.flatnonzero(counts >= least)
-    often = often[np.argsort(-counts[often], kind="stable")]       # of equal ones the smaller pair first
-    to = np.full(len(counts), len(often))
-    to[often] = np.arange(len(often))
-    rank = np.full(len(key), len(often))
+    often = often[_sorted(len(key) - counts[often], len(key).bit_length())[1]]     # of equal ones the smaller pair first
+    to = np.full(len(counts), len(often), np.int32)
+    to[often] = np.arange(len(often), dtype=np.int32)
+    rank = np.empty(len(key), np.int32)
     rank[order] = np.repeat(to, counts)
     return ordered[cut[often]], rank
 
 
-def _places(at: np.ndarray, rank: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, their ranks, used) of the pairs to replace, of those ranked below ``n``
-    at places ``at``: no two overlap, and each pair that is used has two places or
-    more.  None at all only if no pair has two places."""
+def _places(near: np.ndarray, rank: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which, used) of the pairs to replace, of some that follow each other and are
+    ranked below ``n``; ``near``: whether each overlaps the one before it.  No two of
+    them overlap, and each pair that is used has two places or more.  None at all only
+    if no pair has two places."""
+    which = None                        # all
     while True:
-        near = np.diff(at) == 1
-        left = np.r_[n, np.where(near, rank[:-1], n)] if len(at) else rank
-        right = np.r_[np.where(near, rank[1:], n), n] if len(at) else rank
-        run = rank == left              # a pair after itself: one symbol, repeated
+        left, right = np.full((2, len(rank)), n, rank.dtype)
+        np.copyto(left[1:], rank[:-1], where=near[1:])
+        np.copyto(right[:-1], rank[1:], where=near[1:])
         hit = rank < left
-        if run.any():                   # every second place of a run
-            place = np.arange(len(at))
-            hit |= run & ((place - np.maximum.accumulate(np.where(run, 0, place))) % 2 == 0)
+        run = np.flatnonzero(rank == left)      # a pair after itself: one symbol, repeated
+        if len(run):                    # every second place of a run
+            first = np.cumsum(np.r_[True, np.diff(run) > 1]) - 1
+            hit[run[(run - run[np.searchsorted(first, first)]) % 2 == 1]] = True
         hit &= rank <= right
         won = rank[hit]
         used = np.bincount(won, minlength=n) >= 2
         if not len(won) or used.any():
-            return at[hit][used[won]], won[used[won]], used
+            hit = np.flatnonzero(hit)[used[won]]
+            return hit if which is None else which[hit], used
         # what won one place and lost none to another can't be replaced twice: the pairs beside it may
         lost, beaten = np.zeros(n, bool), rank[(left < rank) | (right < rank)]
         lost[won] = True
         lost[beaten] = False
-        at, rank = at[~lost[rank]], rank[~lost[rank]]
+        stay = np.flatnonzero(~lost[rank])
+        near = np.r_[False, near[stay[1:]] & (np.diff(stay) == 1)] if len(stay) else near[stay]
+        which, rank = stay if which is None else which[stay], rank[stay]
 
 
 def re_pair(ids: np.ndarray, first: int, least: int = LEAST_PAIRS):
@@ -97,26 +107,48 @@ def re_pair(ids: np.ndarray, first: int, least: int = LEAST_PAIRS):
     more frequent pair wins, the first of equal ones.  Rounds end when no pair
     is left that occurs ``least`` times and can be replaced twice.  After the
     first, a round counts the pairs that were frequent and those of a new symbol:
-    no other can have become frequent."""
+    no other can have become frequent.  Symbols stay where they are, each knows
+    the one before and after it, so a round costs what it counts."""
+    n = len(ids)
     seq, left, right = ids.astype(np.int64), [], []
-    new, at = first, np.arange(max(len(ids) - 1, 0))
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    new, at, again, stays = first, np.arange(max(n - 1, 0), dtype=np.int32), np.zeros(n + 1, bool), np.ones(n, bool)
+    bits = max(first + n, int(seq.max(initial=0)) + 1).bit_length()
     while len(at):
-        pairs, rank = _frequent_pairs((seq[at] << 32) | seq[at + 1], least)
-        at, rank = at[rank < len(pairs)], rank[rank < len(pairs)]
-        place, won, used = _places(at, rank, len(pairs))
-        if not len(place):
+        pairs, rank = _frequent_pairs((seq[at] << bits) | seq[after[at]], 2 * bits, least)
+        often = rank < len(pairs)
+        at, rank = at[often], rank[often]
+        hit, used = _places(np.r_[False, after[at[:-1]] == at[1:]][:len(at)], rank, len(pairs))
+        if not len(hit):
             break
-        left.append(pairs[used] >> 32)
-        right.append(pairs[used] & 0xFFFFFFFF)
-        seq[place] = (np.cumsum(used) - 1 + new)[won]
+        place = at[hit]
+        left.append(pairs[used] >> bits)
+        right.append(pairs[used] & ((1 << bits) - 1))
+        seq[place] = (np.cumsum(used) - 1 + new)[rank[hit]]
         new += int(used.sum())
-        again, keep = np.zeros(len(seq), bool), np.ones(len(seq), bool)
-        again[at] = again[place] = again[np.maximum(place - 1, 0)] = True
-        keep[place + 1] = False
-        seq = seq[keep]
-        at = np.flatnonzero(again[keep][:-1])
+        gone = after[place]
+        stays[gone] = False
+        after[place] = after[gone]
+        before[after[place]] = place
+        found = [at, place, np.maximum(before[place], 0)]
+        if len(at) > n >> 5:
+            for some in found:
+                again[some] = True
+            found = np.flatnonzero(again).astype(np.int32)
+            again[found] = False
+        else:
+            found = np.unique(np.concatenate(found))
+        at = found[stays[found] & (after[found] < n)]
     rules = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right)]
-    return rules[0].astype(np.uint32), rules[1].astype(np.uint32), seq.astype(np.uint32)
+    return rules[0].astype(np.uint32), rules[1].astype(np.uint32), seq[stays].astype(np.uint32)
+
+
+def _joined(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The stretches ``which`` of ``flat`` one after the other; ``begin`` and ``size`` of all stretches."""
+    n = size[which]
+    place = np.repeat(begin[which] - (np.cumsum(n) - n), n)
+    place += np.arange(len(place))
+    return flat[place]
 
 
 class Grammar:
@@ -128,16 +160,16 @@ class Grammar:
         self.left, self.right = (np.frombuffer(x, np.uint32).astype(np.int64) for x in (left, right))
         self.seq = np.frombuffer(seq, np.uint32).astype(np.int64)
         # all symbols' expansions one after the other: an id is its own
-        size = np.ones(self.first + len(self.left), np.int64)
-        flat = np.arange(self.first + len(self.left))
-        while (rule := flat >= self.first).any():
-            out = np.repeat(flat, 1 + rule)
-            at = (np.cumsum(1 + rule) - 2)[rule]
-            out[at], out[at + 1] = self.left[flat[rule] - self.first], self.right[flat[rule] - self.first]
-            flat = out
-        for lo, hi in self._rounds():
+        size, rounds = np.ones(self.first + len(self.left), np.int64), list(self._rounds())
+        for lo, hi in rounds:
             size[self.first + lo:self.first + hi] = size[self.left[lo:hi]] + size[self.right[lo:hi]]
-        self.flat, self.size, self.begin = flat.astype(np.uint32), size, np.cumsum(size) - size
+        self.size, self.begin = size, np.cumsum(size) - size
+        self.flat = np.empty(int(size.sum()), np.uint32)
+        self.flat[:self.first] = np.arange(self.first)
+        for lo, hi in rounds:           # a rule's expansion: those of its parts
+            to = int(self.begin[self.first + lo])
+            flat = self._expanded(np.stack([self.left[lo:hi], self.right[lo:hi]], 1).ravel())
+            self.flat[to:to + len(flat)] = flat
         self.ends = np.cumsum(size[self.seq])
 
     def _rounds(self) -> Iterator[tuple[int, int]]:
@@ -149,6 +181,9 @@ class Grammar:
             yield at, to
             at = to
 
+    def _expanded(self, symbols: np.ndarray) -> np.ndarray:
+        return _joined(self.flat, self.begin, self.size, symbols)
+
     def __len__(self) -> int:
         return int(self.ends[-1]) if len(self.ends) else 0
 
@@ -159,10 +194,7 @@ class Grammar:
             return np.empty(0, np.uint32)
         a, b = np.searchsorted(self.ends, [start, stop - 1], side="right")
         skipped = int(self.ends[a - 1]) if a else 0
-        seq = self.seq[a:b + 1]
-        size = self.size[seq]
-        place = np.repeat(self.begin[seq] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return self.flat[place[start - skipped:stop - skipped]]
+        return self._expanded(self.seq[a:b + 1])[start - skipped:stop - skipped]
 
 
 def grammar_blob(ids: np.ndarray, first: int) -> bytes:
@@ -247,47 +279,65 @@ class _Writer:
             self._clear()
 
 
-def _without_split(tokenizer: str) -> str | None:
-    """The same tokenizer for text that is split already, if its own split (a regular
-    expression) keeps runs of letters and runs of punctuation apart and whole."""
+PUNCTUATION = ".,;:!?&%$*#"
+
+
+def _bytes(strings: pa.Array) -> list[bytes]:
+    return strings.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _letters_alone(tokenizer: str) -> bool | None:
+    """Whether the tokenizer lower-cases, if its model may get a run of letters by itself:
+    its split (a regular expression) keeps runs of letters and runs of punctuation apart
+    and whole, it changes nothing else of letters, and none of its added tokens is made of these."""
     import json
 
     from tokenizers import Tokenizer
-    t, model = Tokenizer.from_str(tokenizer), json.loads(tokenizer)
-    steps = (model.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    t, spec = Tokenizer.from_str(tokenizer), json.loads(tokenizer)
+    steps, norm = (spec.get("pre_tokenizer") or {}).get("pretokenizers", []), spec.get("normalizer") or {}
     if [p["type"] for p in steps] != ["Split", "ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
         return None
+    norm = norm.get("normalizers", [norm] if norm else [])
+    if any(n["type"] not in ("NFC", "Lowercase") and (n["type"], n.get("pattern")) != ("Replace", {"Regex": "\\s+"}) for n in norm):
+        return None
+    if spec["model"].get("dropout") or any(all(c.isalpha() or c in PUNCTUATION for c in a["content"]) for a in spec["added_tokens"]):
+        return None
     probe = "abcdéßжй日本" + PUNCTUATION
     if [span for _, span in t.pre_tokenizer.pre_tokenize_str(probe)] != [(0, 10), (10, len(probe))]:
         return None
-    steps[0] = {"type": "WhitespaceSplit"}
-    return json.dumps(model)
-
+    return any(n["type"] == "Lowercase" for n in norm)
 
-PUNCTUATION = ".,;:!?"
 
+class WordIds:
+    """For tokenizers that drop white space: a text's ids are those of its words,
+    one after the other.
 
-class WordIds(dict):
-    """Word bytes -> its ids as bytes, remembered in two generations of ``bound``
-    words: a full one becomes the old one, words found there are kept on.
-
-    For tokenizers that drop white space: a text's ids are those of its words,
-    one after the other.  Each new word is encoded by the tokenizer itself,
-    many in one call between a mark that no other word has.  Letters followed by
-    punctuation are two pieces already, and skip the tokenizer's slow split
-    (``_without_split``); all other words go through the whole tokenizer.
+    Latin letters followed by punctuation are two pieces already: the letters go to the
+    tokenizer's model without its slow normalizer and split (``_letters_alone``), once
+    for all words that differ in case of A-Z or punctuation.  Their ids are remembered in
+    two generations of ``bound`` runs: a full one becomes the old one, runs found there
+    are kept on.  Any other word is encoded by the whole tokenizer, many in one call
+    between a mark that no other word has, and remembered with up to ``bound`` others.
     """
 
     MARK = "\x01"
+    LATIN = 0x250                   # letters below compose with no other letter
+    latin = staticmethod(re.compile(f"[\0-{chr(LATIN - 1)}]*").fullmatch)
 
     def __init__(self, tokenizer: str, bound: int = HELD_WORDS):
-        super().__init__()
-        from tokenizers import Tokenizer
-        self.whole, self.bound, self.old = Tokenizer.from_str(tokenizer), bound, {}
-        plain = _without_split(tokenizer)
-        self.plain = Tokenizer.from_str(plain) if plain else None
+        import json
+
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.whole, self.bound = Tokenizer.from_str(tokenizer), bound
+        lower = _letters_alone(tokenizer)
+        self.model, self.lower = None if lower is None else self.whole.model, bool(lower)
+        self.added = [a["content"].lower().encode() for a in json.loads(tokenizer)["added_tokens"]]
+        self.runs: dict[bytes, bytes] = {}
+        self.old_runs: dict[bytes, bytes] = {}
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.seen_as = {c: bytes_of(chr(c))[0][0] for c in range(0x80, self.LATIN)}     # by the model
         self.mark = self._encode(self.whole, self.MARK)
-        self.tails: dict[str, bytes] = {"": b""}
+        self.words: dict[bytes, bytes] = {}         # no letters, or not by themselves
 
     @staticmethod
     def _encode(tokenizer, text: str) -> np.ndarray:
@@ -306,41 +356,70 @@ class WordIds(dict):
             out += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)]
         return out
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > self.bound:
-            self.old = dict(self)
-            self.clear()
-        kept = {w: self.old[w] for w in words.intersection(self.old)}
-        self.update(kept)
-        new = list(words.difference(kept)) if kept else list(words)
-        texts = [w.decode("utf-8", "replace") for w in new]
-        cores = [t.rstrip(PUNCTUATION) for t in texts]
+    def _for_model(self, run: bytes) -> str | None:
+        """What the model sees of a run of Latin letters; of all else None."""
+        if run.isalpha():
+            return (run.lower() if self.lower else run).decode()
+        text = run.decode("utf-8", "replace")
+        if run.isascii() or not text.isalpha():
+            return None
+        seen = text.lower() if self.lower else text
         # lower case of a letter may be a letter and a mark: that word is no single run
-        run = [self.plain is not None and c.isalpha() and (c.isascii() or c.lower().isalpha()) for c in cores]
-        for tail in {t[len(c):] for t, c, r in zip(texts, cores, run, strict=True) if r}.difference(self.tails):
-            self.tails[tail] = self._encode(self.whole, tail).tobytes()
-        raw = self._raw(self.plain, [c for c, r in zip(cores, run, strict=True) if r])
-        plain = [(w, self.tails[t[len(c):]]) for w, t, c, r in zip(new, texts, cores, run, strict=True) if r]
-        self.update([(w, ids + tail) for (w, tail), ids in zip(plain, raw, strict=True)])
-        rest = [(w, t) for w, t, r in zip(new, texts, run, strict=True) if not r]
-        self.update(zip([w for w, _ in rest], self._raw(self.whole, [t for _, t in rest]), strict=True))
+        alone = seen.isalpha() and self.latin(text) and self.latin(seen)
+        return seen.translate(self.seen_as) if alone else None
+
+    def _of_runs(self, runs: list[bytes]) -> list[bytes | None]:
+        """Ids of different runs of Latin letters; of all else None."""
+        ids = list(map(self.runs.get, runs))
+        new = [r for r, v in zip(runs, ids, strict=True) if v is None]
+        kept = {r: v for r in new if (v := self.old_runs.get(r)) is not None}
+        if len(self.runs) + len(new) > self.bound:
+            self.old_runs, self.runs = self.runs, {r: v for r, v in zip(runs, ids, strict=True) if v is not None}
+        self.runs.update(kept)
+        new = [r for r in new if r not in kept]
+        seen = list(map(self._for_model, new))
+        tokens = map(self.model.tokenize, [s for s in seen if s is not None])
+        self.runs.update(zip([r for r, s in zip(new, seen, strict=True) if s is not None],
+                             [array("I", [x.id for x in found]).tobytes() for found in tokens], strict=True))
+        return [self.runs.get(r) if v is None else v for r, v in zip(runs, ids, strict=True)]
+
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of any words, by the whole tokenizer."""
+        new = set(words).difference(self.words)
+        if len(self.words) + len(new) > self.bound:
+            self.words, new = {}, set(words)
+        texts = [w.decode("utf-8", "replace") for w in new]
+        self.words.update(zip(new, self._raw(self.whole, texts), strict=True))
+        return [self.words[w] for w in words]
+
+    def _folded(self, text: bytes) -> bytes:
+        """A-Z lower-cased if the tokenizer does so too, whatever stands next to them: marks that
+        compose with a letter of one case only and added tokens leave a text as it is."""
+        low = text.lower() if self.lower else text
+        return text if b"\xcc" in text or b"\xcd" in text or any(a in low for a in self.added) else low
 
     def many(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of some texts; their new words are encoded together."""
-        found = []
-        missing: set[bytes] = set()
-        for t in texts:
-            words = t.split()
-            ids = list(map(self.get, words))
-            if None in ids:
-                missing.update([w for w, v in zip(words, ids, strict=True) if v is None])
-            else:
-                words = None
-            found.append((words, ids))
-        if missing:
-            self.learn(missing)
-        return [np.frombuffer(b"".join(ids if words is None else [self[w] if v is None else v for w, v in zip(words, ids, strict=True)]),
-                              np.uint32) for words, ids in found]
+        split = pc.ascii_split_whitespace(pa.array([self._folded(t) for t in texts], pa.binary()).view(pa.string()))
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary                # each is a run and a tail of punctuation, or encoded whole
+        cut = pc.ascii_rtrim(words, characters=PUNCTUATION) if self.model else words
+        runs = cut.dictionary_encode()
+        ids = self._of_runs(_bytes(runs.dictionary)) if self.model else [None] * len(words)
+        run = runs.indices.to_numpy()
+        alone = np.fromiter((v is not None for v in ids), bool, len(ids))[run]
+        tail = (pc.binary_length(words).to_numpy() - pc.binary_length(cut).to_numpy()) * alone
+        tailed, rest = np.flatnonzero(tail), np.flatnonzero(~alone)
+        tails = [w[-k:] for w, k in zip(_bytes(words.take(pa.array(tailed))), tail[tailed].tolist(), strict=True)]
+        raw = [b"", *(v or b"" for v in ids), *self._of_words(tails + _bytes(words.take(pa.array(rest))))]
+        parts = np.stack([run + 1, np.zeros(len(run), run.dtype)], 1)
+        parts[tailed, 1] = np.arange(len(tailed)) + 1 + len(ids)
+        parts[rest, 0] = np.arange(len(rest)) + 1 + len(ids) + len(tailed)
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        flat = _joined(np.frombuffer(b"".join(raw), np.uint32), np.cumsum(size) - size, size, parts.ravel())
+        size, code = size[parts].sum(1), coded.indices.to_numpy()
+        ends = np.r_[0, np.cumsum(size[code])][split.offsets.to_numpy()]
+        return np.split(_joined(flat, np.cumsum(size) - size, size, code), ends[1:-1]) if texts else []
 
     def pieces(self, text: bytes) -> Iterator[np.ndarray]:
         """Ids of a long text, piece by piece; a piece ends before white space."""

@@ -74,6 +74,60 @@ def test_words_agree_with_whole_texts(tokenizer, monkeypatch, sf):
         assert got.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+ODD = ["H\u0331 h\u0331 J\u030c T\u0308x W\u030a A\u0301B É e\u0301 E\u0301", "<|EndOfText|> x<|ENDOFTEXT|>y <|endoftext|> A<|startoftext|>B",
+       "\u212aelvin Œuvre ŒUVRE Ÿ ÿ. ǅ ǆ Ⱥ ⱥ Ƀ Ɓ İx iİ ı SS ß ẞ Σας ΟΔΟΣ", "don't DON'T, it'S's 'S 'Tis x.'t a'LL.", "a’, a’ a», «A a&&& a&. a.### A..% $$$ ... a|| a>b <",
+       "x" + "".join(f"{chr(c)}Y" for c in range(1, 128)), "A\x85b a\xa0B \u3000c\u2028D", "ªº ŉ ǰ ſ ﬁ ﬀ ℃ Å", "１２ 3² x2 Ⅷ ⅷ", "日本 Ж ж, ЖЖ. ǆ! " * 3]
+
+
+@pytest.mark.parametrize("bound", [3, 600_000])
+def test_letters_without_the_split(tokenizer, bound):
+    """Case, marks, punctuation and added tokens beside letters; a memory that is always full."""
+    words = tf.WordIds(open(FILE).read(), bound=bound)
+    assert words.model and words.lower
+    for texts in [[t] for t in ODD] + [ODD, [t.swapcase() for t in ODD], []]:
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in words.many([t.encode() for t in texts])] == want
+
+
+def test_letters_are_encoded_once(tokenizer):
+    """Words that differ in case of A-Z or punctuation cost one call of the model."""
+    words, calls = tf.WordIds(open(FILE).read()), []
+
+    class Model:
+        def tokenize(self, run, model=words.model):
+            calls.append(run)
+            return model.tokenize(run)
+
+    words.model = Model()
+    texts = ["Grammar grammar, GRAMMAR. grammar", "grammar### gRammar&&& été été. éTé,"]
+    assert [x.tolist() for x in words.many([t.encode() for t in texts])] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) == 2
+
+
+@pytest.mark.parametrize("change", [
+    lambda m: m.update(normalizer={"type": "NFC"}),
+    lambda m: m["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "a"}, "content": "b"}),
+    lambda m: m["pre_tokenizer"]["pretokenizers"][0].update(pattern={"Regex": "[^\\s,]+|,"}),
+    lambda m: m["added_tokens"].append({**m["added_tokens"][0], "id": 49408, "content": "Abc.", "special": False})])
+def test_words_of_other_tokenizers(change):
+    """Case kept, letters replaced, punctuation kept with letters, an added token of letters."""
+    import json
+    model = json.load(open(FILE))
+    change(model)
+    model = json.dumps(model)
+    whole, words = Tokenizer.from_str(model), tf.WordIds(model)
+    for t in ["Abc abc, ABC. a,b xAbc.x", *[t for t in ODD if "\xa0" not in t]]:
+        assert words.many([t.encode()])[0].tolist() == whole.encode(t, add_special_tokens=False).ids, t
+
+
+def test_sorted_with_and_without_room_for_places():
+    key = np.random.default_rng(1).integers(0, 50, 1000)
+    for bits in (6, 60):
+        ordered, order = tf._sorted(key, bits)
+        assert ordered.tolist() == sorted(key.tolist()) and order.tolist() == np.argsort(key, kind="stable").tolist()
+
+
 @pytest.mark.parametrize("ids", [[], [7], [7, 7], [7] * 1001, list(range(500)), [1, 2, 3] * 300 + [2, 3, 4] * 200,
                                  np.random.default_rng(0).zipf(1.5, 20_000).clip(max=900).tolist()])
 def test_grammar_round_trip(ids):

@@ -242,21 +242,30 @@ def gbt_regression_metrics(spark, sf):
                                             "l_extendedprice")
     feats = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
     vectors = ml.assembler(feats)
-    train, test = ml.random_split(vectors.transform(li), 0.7, 42)
-    train = ml.spread_rows(train)
-    # 100 boosted trees pass over their rows 600 times; the forest samples rows and needs each of them
-    weighted = vectors.transform(ml.weighted_rows(train, feats, "l_extendedprice"))
+    drawn = ml.drawn_rows(li, 0.7, 42)
+    train, test = (drawn.filter(which).drop("is_train") for which in ("is_train", "NOT is_train"))
+    models = {"gbt_regressor": ml.gbt_regressor("l_extendedprice").setWeightCol("weight"),
+              "rf_regressor": ml.rf_regressor("l_extendedprice")}
+    if train.count() > ml.CELLS_BEYOND:
+        fitted, test = ml.fit_on_cells(models, train, test, feats, "l_extendedprice")
+        predict = lambda model, rows: ml.predict_on_cells(model, rows, feats)
+    else:
+        train = ml.spread_rows(vectors.transform(train))
+        # 100 boosted trees pass over their rows 600 times; the forest samples rows and needs each of them
+        weighted = vectors.transform(ml.weighted_rows(train, feats, "l_extendedprice"))
+        fitted = {name: model.fit(train if name == "rf_regressor" else weighted) for name, model in models.items()}
+        predict = lambda model, rows: model.transform(vectors.transform(rows))
     out = None
-    for name, model, rows in (("gbt_regressor", ml.gbt_regressor("l_extendedprice").setWeightCol("weight"), weighted),
-                              ("rf_regressor", ml.rf_regressor("l_extendedprice"), train)):
-        fitted = model.fit(rows)
-        pred = fitted.transform(test)
+    for name, model in fitted.items():
+        pred = predict(model, test)
         m = ml.regression_metrics(pred, "l_extendedprice")
         rows = m.select(F.lit(name).alias("model_type"), F.explode(F.create_map(
             *[x for c in ("rmse", "mse", "mae", "r2", "mape") for x in (F.lit(c), F.col(c))])).alias("metric", "value"))
-        top = ml.feature_importances(spark, fitted, pred).limit(1).select(
+        top = ml.feature_importances(spark, model, vectors.transform(test)).limit(1).select(
             F.lit(name).alias("model_type"), F.concat(F.lit("top_feature:"), "feature").alias("metric"),
             F.col("importance").alias("value"))
         part = rows.unionByName(top)
         out = part if out is None else out.unionByName(part)
-    return out
+    found = out.collect()
+    drawn.unpersist()
+    return spark.createDataFrame(found, out.schema)

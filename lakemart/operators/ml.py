@@ -182,7 +182,7 @@ def bin_thresholds(df: DataFrame, features: list[str], bins: int = BINS) -> dict
     out = {c: [] for c in features if c not in few}
     for _ in range(2):
         room = {c: bins - 1 - len(limits) for c, limits in out.items() if len(limits) < bins - 1}
-        more = [F.percentile_approx(F.when(~value(c).isin(out[c]), value(c)), [i / (k + 1) for i in range(1, k + 1)], 10_000).alias(c)
+        more = [F.percentile_approx(F.when(~value(c).isin(out[c]), value(c)), [i / (k + 1) for i in range(1, k + 1)], 1_000).alias(c)
                 for c, k in room.items()]
         for c, values in (df.agg(*more).first().asDict() if more else {}).items():
             out[c] = sorted({*out[c], *(values or [])})
